@@ -310,6 +310,7 @@ oracle(
     "collect_doc_terms", f"WITH {words()} SELECT doc_id, list(word ORDER BY word) AS terms FROM pw GROUP BY doc_id"
 )
 oracle("doc_term_counts", f"WITH {words()}, {counts()} SELECT doc_id, term, n FROM counts")
+oracle("word_counts_in_place", ORACLES["doc_term_counts"])
 oracle(
     "vocabulary_fit",
     f"WITH {words()}, {counts()}, {VOCABULARY} SELECT index::INT AS index, term, cf, df FROM vocab",
@@ -327,6 +328,7 @@ oracle(
     SELECT *, 'c1' AS oid FROM ({DICTIONARY})""",
 )
 oracle("pos_word_counts", f"WITH {TAGGED} SELECT word, pos, count FROM pos_counts")
+oracle("pos_words_by_vocabulary", ORACLES["pos_word_counts"])
 oracle(
     "windowed_trend", f'WITH {TREND} SELECT start, "end", hashtag, count, round(avg, 6) AS avg FROM trend'
 )
@@ -417,7 +419,7 @@ oracle("tag_entities_dict", f"WITH {LABELLED} SELECT doc_id, sentence, token, wo
 oracle("fit_pos_lexicon", f"WITH {POS} SELECT word, pos FROM fitted")
 oracle(
     "tag_pos",
-    f'WITH {TAGGED} SELECT doc_id, sentence, token, word, begin, end_ AS "end", pos FROM tagged',
+    f"WITH {TAGGED} SELECT doc_id, sentence, token, word, pos FROM tagged",
 )
 oracle("merge_entity_spans", f"WITH {SPANS} SELECT doc_id, sentence, ner, first, last, entity FROM spans")
 

@@ -49,7 +49,7 @@ def word_table(spark, sf_dir, stop_words=()) -> DataFrame:
 
 
 def word_counts(spark, sf_dir) -> DataFrame:
-    return corpus.doc_term_counts(word_table(spark, sf_dir))
+    return tokens.word_counts(documents(spark, sf_dir)).withColumnRenamed("word", "term")
 
 
 def status_text() -> F.Column:
@@ -275,7 +275,8 @@ def having_min_count(spark, sf_dir):
 @query
 def filter_in_vocabulary(spark, sf_dir):
     vocab = stored(vocabulary_fit(spark, sf_dir), "vocabulary")
-    forms = corpus.stem_forms(corpus.word_totals(word_table(spark, sf_dir)))
+    totals = word_counts(spark, sf_dir).withColumnRenamed("term", "word").withColumn("stem", F.col("word"))
+    forms = corpus.stem_forms(corpus.word_totals(totals))
     return corpus.ngram_index(forms, vocab).select("stem", "count")
 
 
@@ -341,7 +342,7 @@ def stopword_anti_join(spark, sf_dir):
 @query
 def ngram_index(spark, sf_dir):
     vocab = stored(vocabulary_fit(spark, sf_dir), "vocabulary")
-    stems = word_table(spark, sf_dir).select("stem").distinct()
+    stems = word_counts(spark, sf_dir).select(F.col("term").alias("stem")).distinct()
     return corpus.ngram_index(stems, vocab)
 
 
@@ -353,6 +354,12 @@ def collect_doc_terms(spark, sf_dir):
 
 @query
 def doc_term_counts(spark, sf_dir):
+    """Counted from a token table, as for tokens of any origin."""
+    return corpus.doc_term_counts(word_table(spark, sf_dir))
+
+
+@query
+def word_counts_in_place(spark, sf_dir):
     return word_counts(spark, sf_dir)
 
 
@@ -371,17 +378,24 @@ def doc_features(spark, sf_dir):
 @query
 def ngram_dictionary(spark, sf_dir):
     """Stems are the first four letters here, so that a stem has several surface forms."""
-    cut = tokens.word_rows(documents(spark, sf_dir)).withColumn("stem", F.substring("word", 1, 4))
-    counts = stored(
-        cut.groupBy("doc_id", "stem", "word").agg(F.count(F.lit(1)).alias("n")), "counts"
-    )
+    cut = tokens.word_counts(documents(spark, sf_dir)).withColumn("stem", F.substring("word", 1, 4))
+    counts = stored(cut, "counts")
     per_doc = counts.groupBy("doc_id", F.col("stem").alias("term")).agg(F.sum("n").alias("n"))
     vocab = stored(corpus.vocabulary_fit(per_doc, MIN_DF), "vocabulary")
-    return corpus.ngram_dictionary(counts.groupBy("stem", "word").agg(F.sum("n").alias("n")), vocab)
+    return corpus.ngram_dictionary(corpus.word_totals(counts), vocab)
 
 
 @query
 def pos_word_counts(spark, sf_dir):
+    """Counted from tagged token rows."""
+    rows = an.counted_pos(an.tag_pos(an.token_rows(documents(spark, sf_dir)), pos_lexicon(spark, sf_dir)))
+    kept = filters.without_stopword_rows(rows, tx.default_stop_words())
+    return an.pos_word_counts(kept.withColumn("pos", an.coarse_pos(F.col("pos"))))
+
+
+@query
+def pos_words_by_vocabulary(spark, sf_dir):
+    """The same report from distinct words."""
     return tagging.count_pos_words(documents(spark, sf_dir), pos_lexicon(spark, sf_dir))
 
 
@@ -580,7 +594,7 @@ def tag_pos(spark, sf_dir):
 
 @query
 def merge_entity_spans(spark, sf_dir):
-    return an.merge_entity_spans(an.tag_entities(documents(spark, sf_dir), entity_lexicon(spark, sf_dir)))
+    return an.merge_entity_spans(an.entity_token_rows(documents(spark, sf_dir), entity_lexicon(spark, sf_dir)))
 
 
 # --- machine learning --------------------------------------------------------------------------
@@ -610,10 +624,7 @@ def nb_log_prior(spark, sf_dir):
 @query
 def nb_log_theta(spark, sf_dir):
     docs = training(spark, sf_dir).withColumnRenamed("status", "text")
-    counts = stored(
-        tokens.word_rows(docs).groupBy("doc_id", F.col("word").alias("term")).agg(F.count(F.lit(1)).alias("n")),
-        "counts",
-    )
+    counts = stored(tokens.word_counts(docs).withColumnRenamed("word", "term"), "counts")
     vocab = stored(corpus.vocabulary_fit(counts, MIN_DF).select("term"), "vocabulary")
     labels = docs.select("doc_id", F.col("label").cast("int").alias("label"))
     known = lookup_join(counts, vocab, "term").join(labels, "doc_id")

@@ -33,8 +33,9 @@ def split_words(text: Column, gaps: str = WORD_GAPS) -> Column:
 
 def tokenize_regex(text: Column, gaps: str = WORD_GAPS, min_length: int = 1) -> Column:
     """Lower-cased words between gaps, words shorter than ``min_length`` dropped."""
-    long_enough = (lambda w: w != "") if min_length == 1 else (lambda w: F.length(w) >= min_length)
-    return F.filter(split_words(text, gaps), long_enough)
+    if min_length == 1:
+        return F.array_remove(split_words(text, gaps), "")
+    return F.filter(split_words(text, gaps), lambda w: F.length(w) >= min_length)
 
 
 def tokenize_whitespace(text: Column) -> Column:
@@ -74,6 +75,26 @@ def ngrams(words: Column, n: int = 2) -> Column:
     return bind(words, runs)
 
 
+def runs_of_equal(words: Column) -> Column:
+    """Equal elements of an array brought together: one string per distinct element.
+
+    Each string repeats its element, every time followed by a line break; ``run_word`` and
+    ``run_length`` read it back. Sorting and matching both run in native code, so counting the words
+    of a text needs neither a lambda nor a shuffle. Elements must not hold line breaks or be empty,
+    which holds for words and n-grams between ``WORD_GAPS``.
+    """
+    lines = F.concat(F.array_join(F.sort_array(words), "\n"), F.lit("\n"))
+    return F.regexp_extract_all(lines, F.lit(r"([^\n]+\n)\1*"), F.lit(0))
+
+
+def run_word(run: Column) -> Column:
+    return F.substring_index(run, "\n", 1)
+
+
+def run_length(run: Column) -> Column:
+    return (F.length(run) / (F.length(run_word(run)) + 1)).cast("long")
+
+
 def extract_hashtags(status: Column) -> Column:
     """Words of a status, split on one space, that start with the hashtag mark."""
     return F.filter(F.split(status, " "), lambda w: F.startswith(w, F.lit(HASHTAG_MARK)))

@@ -54,32 +54,24 @@ def annotate(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def sentence_rows(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``doc_id, sentence, begin, end, result`` row per sentence."""
-    found = docs.select(
-        F.col(id_col).alias("doc_id"), F.posexplode(spans(F.col(text), SENTENCE)).alias("sentence", "s")
-    )
-    return found.select("doc_id", "sentence", "s.begin", "s.end", "s.result")
+    """``doc_id, sentence, result`` row per sentence, numbered from 0."""
+    found = F.regexp_extract_all(F.col(text), F.lit(SENTENCE), F.lit(0))
+    return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(found).alias("sentence", "result"))
 
 
 def token_rows(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``doc_id, sentence, token, word, begin, end`` row per token, all numbered from 0."""
-    sentences = sentence_rows(docs, text, id_col)
-    found = sentences.select(
-        "doc_id",
-        "sentence",
-        F.col("begin").alias("_base"),
-        F.posexplode(spans(F.col("result"), TOKEN)).alias("token", "t"),
-    )
-    return found.select(
-        "doc_id",
-        "sentence",
-        "token",
-        F.col("t.result").alias("word"),
-        (F.col("_base") + F.col("t.begin")).alias("begin"),
-        (F.col("_base") + F.col("t.end")).alias("end"),
+    """``doc_id, sentence, token, word`` row per token, numbered from 0 in its sentence."""
+    words = F.regexp_extract_all("result", F.lit(TOKEN), F.lit(0))
+    return sentence_rows(docs, text, id_col).select(
+        "doc_id", "sentence", F.posexplode(words).alias("token", "word")
     )
 
 
+def token_words(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``word`` row per token; the same words as ``token_rows``, as no token holds a blank."""
+    return docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0))).alias("word"))
+
+
 # --- parts of speech ---------------------------------------------------------------------------
 
 
@@ -151,43 +143,57 @@ def phrase_lexicon(lexicon: DataFrame) -> DataFrame:
 
 
 def entity_matches(sentences: DataFrame, phrases: DataFrame) -> DataFrame:
-    """``doc_id, sentence, token, size, tag`` row per place where a phrase starts.
+    """``doc_id, sentence, token, size, words, tag`` row per place where a phrase starts.
 
-    Only phrase lengths that occur in the lexicon are generated, and each candidate is dropped by
-    the lookup in the same stage.
+    Only phrase lengths that occur in the lexicon are generated, and each candidate meets the
+    lookup in the same stage, so candidates that match nothing go no further.
     """
+    # One row per phrase length.
     sizes = [r["size"] for r in phrases.select("size").distinct().orderBy("size").collect()]
-    words = F.regexp_extract_all(F.lower("result"), F.lit(TOKEN), F.lit(0))
-    candidates = sentences.select("doc_id", "sentence", words.alias("w")).select(
-        "doc_id", "sentence", "w", F.explode(F.array(*[F.lit(s) for s in sizes])).alias("size")
-    )
-    runs = F.transform(
-        F.slice("w", F.lit(1), F.greatest(F.size("w") - F.col("size") + 1, F.lit(0))),
-        lambda _, i: F.array_join(F.slice("w", i + 1, F.col("size")), " "),
-    )
-    starts = candidates.select("doc_id", "sentence", "size", F.posexplode(runs).alias("token", "phrase"))
-    found = lookup_join(starts, phrases, ["phrase", "size"])
-    return found.select("doc_id", "sentence", "token", "size", "tag")
+    words = F.regexp_extract_all("result", F.lit(TOKEN), F.lit(0))
+    lengths = F.array(*[F.lit(s) for s in sizes]).cast("array<int>")
+    by_size = sentences.select("doc_id", "sentence", words.alias("w"), F.explode(lengths).alias("size"))
+
+    def run(_, i):
+        taken = F.slice("w", i + 1, F.col("size"))
+        return F.struct(F.lower(F.array_join(taken, " ")).alias("phrase"), taken.alias("words"))
+
+    starts = F.slice("w", F.lit(1), F.greatest(F.size("w") - F.col("size") + 1, F.lit(0)))
+    candidates = by_size.select(
+        "doc_id", "sentence", "size", F.posexplode(F.transform(starts, run)).alias("token", "r")
+    ).select("doc_id", "sentence", "token", "size", "r.phrase", "r.words")
+    found = lookup_join(candidates, phrases, ["phrase", "size"])
+    return found.select("doc_id", "sentence", "token", "size", "words", "tag")
 
 
 def entity_labels(matches: DataFrame) -> DataFrame:
-    """``doc_id, sentence, token, ner``: each covered token takes the longest match over it.
+    """``doc_id, sentence, token, word, ner``: each covered token takes the longest match over it.
 
     Matches of equal length go to the earlier start, then to the smaller tag.
     """
     covered = matches.select(
         "doc_id",
         "sentence",
-        F.explode(F.sequence("token", F.col("token") + F.col("size") - 1)).alias("token"),
+        F.col("token").alias("start"),
         F.struct((-F.col("size")).alias("longest"), F.col("token").alias("start"), "tag").alias("m"),
+        F.posexplode("words").alias("offset", "word"),
+    )
+    return covered.groupBy("doc_id", "sentence", (F.col("start") + F.col("offset")).alias("token"), "word").agg(
+        F.min("m")["tag"].alias("ner")
     )
-    return covered.groupBy("doc_id", "sentence", "token").agg(F.min("m")["tag"].alias("ner"))
 
 
-def tag_entities(docs: DataFrame, lexicon: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Token rows with ``ner``: dictionary tag of the longest phrase over the token, else ``O``."""
+def entity_token_rows(
+    docs: DataFrame, lexicon: DataFrame, text: str = "text", id_col: str = "doc_id"
+) -> DataFrame:
+    """Only the tokens inside dictionary entities; other tokens are never shuffled."""
     phrases = phrase_lexicon(lexicon)
-    labels = entity_labels(entity_matches(sentence_rows(docs, text, id_col), phrases))
+    return entity_labels(entity_matches(sentence_rows(docs, text, id_col), phrases))
+
+
+def tag_entities(docs: DataFrame, lexicon: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """All token rows with ``ner``: dictionary tag of the longest phrase over the token, else ``O``."""
+    labels = entity_token_rows(docs, lexicon, text, id_col).drop("word")
     labelled = token_rows(docs, text, id_col).join(labels, ["doc_id", "sentence", "token"], "left")
     return labelled.withColumn("ner", F.coalesce("ner", F.lit(NO_ENTITY)))
 

@@ -33,7 +33,10 @@ def with_rank(df: DataFrame, *order: Column, name: str = "index", label: str = "
 
 
 def doc_term_counts(tokens: DataFrame, term: str = "stem") -> DataFrame:
-    """``doc_id, term, n``: how often each document holds each term."""
+    """``doc_id, term, n``: how often each document holds each term of a token table.
+
+    For documents with their text at hand, ``word_counts`` gives the same without a shuffle.
+    """
     return tokens.groupBy("doc_id", F.col(term).alias("term")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -74,8 +77,12 @@ def doc_features(counts: DataFrame, vocabulary: DataFrame, classifier_id: str) -
 
 
 def word_totals(tokens: DataFrame) -> DataFrame:
-    """``stem, word, n``: occurrences of each surface form of a stem."""
-    return tokens.groupBy("stem", "word").agg(F.count(F.lit(1)).alias("n"))
+    """``stem, word, n``: occurrences of each surface form of a stem.
+
+    ``tokens`` holds one row per token, or counted rows with ``n``.
+    """
+    n = F.sum("n") if "n" in tokens.columns else F.count(F.lit(1))
+    return tokens.groupBy("stem", "word").agg(n.alias("n"))
 
 
 def stem_forms(totals: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.ml.feature import HashingTF, IndexToString, StopWordsRemover, Token
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.session import stored
+
 # Feature buckets and smoothing.
 FEATURE_BUCKETS = 2000
 SMOOTHING = 1.0
@@ -91,7 +93,7 @@ def nb_log_theta(term_counts: DataFrame, smoothing: float = SMOOTHING) -> DataFr
     Every term gets a row per class, also with no occurrence: the counts of a term are laid out by
     class in one aggregation and unfolded again, so no term table is crossed with the classes.
     """
-    per_pair = term_counts.groupBy("label", "term").agg(F.sum("n").alias("n"))
+    per_pair = stored(term_counts.groupBy("label", "term").agg(F.sum("n").alias("n")), "class-terms")
     totals = {r["label"]: r["n"] for r in per_pair.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     labels = sorted(totals)
     by_term = per_pair.groupBy("term").agg(

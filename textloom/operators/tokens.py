@@ -8,7 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.stemmer import english_stem
-from textloom.functions.text import WORD_GAPS, ngrams, remove_stopwords, split_words, tokenize_regex
+from textloom.functions.text import (
+    WORD_GAPS,
+    ngrams,
+    remove_stopwords,
+    run_length,
+    run_word,
+    runs_of_equal,
+    split_words,
+    tokenize_regex,
+)
 from textloom.operators.joins import lookup_join
 from textloom.session import stored
 
@@ -42,20 +51,68 @@ def bigram_rows(
     return explode_words(docs, ngrams(words, 2), id_col).withColumn("stem", F.col("word"))
 
 
+def unique_ids(docs: DataFrame, id_col: str = "doc_id") -> bool:
+    """Whether no id names two rows; reads only the id column."""
+    return docs.groupBy(id_col).count().where(F.col("count") > 1).isEmpty()
+
+
+def _counted(docs: DataFrame, elements: Column, id_col: str, ids_unique: bool | None) -> DataFrame:
+    """``doc_id, word, n`` of an array column.
+
+    Each row is counted in place. Where ids are unique that is the answer and nothing is shuffled;
+    otherwise the rows of one id are added up. Uniqueness is checked unless the caller knows it.
+    """
+    runs = docs.select(F.col(id_col).alias("doc_id"), F.explode(runs_of_equal(elements)).alias("run"))
+    counts = runs.select("doc_id", run_word(F.col("run")).alias("word"), run_length(F.col("run")).alias("n"))
+    if ids_unique is None:
+        ids_unique = unique_ids(docs, id_col)
+    return counts if ids_unique else counts.groupBy("doc_id", "word").agg(F.sum("n").alias("n"))
+
+
+def word_counts(
+    docs: DataFrame,
+    stop_words: Sequence[str] = (),
+    text: str = "text",
+    id_col: str = "doc_id",
+    ids_unique: bool | None = None,
+) -> DataFrame:
+    """``doc_id, word, n``: how often each document holds each word that is no stop word."""
+    counts = _counted(docs, tokenize_regex(F.col(text)), id_col, ids_unique)
+    dropped = sorted({w.lower() for w in stop_words})
+    return counts.where(~F.col("word").isin(dropped)) if dropped else counts
+
+
+def bigram_counts(
+    docs: DataFrame,
+    stop_words: Sequence[str] = (),
+    text: str = "text",
+    id_col: str = "doc_id",
+    ids_unique: bool | None = None,
+) -> DataFrame:
+    """``doc_id, word, n``: how often each document holds each bigram left after the stop list."""
+    words = remove_stopwords(tokenize_regex(F.col(text)), stop_words)
+    return _counted(docs, ngrams(words, 2), id_col, ids_unique)
+
+
 def stem_table(words: DataFrame, language: str = ENGLISH, stems: DataFrame | None = None) -> DataFrame:
-    """``word, stem`` of every distinct word, stored.
+    """``word, stem, n`` of every distinct word with its number of occurrences, stored.
 
-    English words are stemmed by rule, each distinct word once. Other languages need a ``word,
-    stem`` table; a word missing from it is its own stem.
+    ``words`` holds ``word`` and, if already counted, ``n``. English words are stemmed by rule,
+    each distinct word once. Other languages need a ``word, stem`` table; a word missing from it is
+    its own stem. A stem is one word: tables with blanks in a stem are rejected.
     """
-    distinct = words.select("word").distinct()
+    n = F.sum("n") if "n" in words.columns else F.count(F.lit(1))
+    distinct = words.groupBy("word").agg(n.alias("n"))
     if stems is None:
         if language != ENGLISH:
             raise ValueError(f"stemming {language} needs a table of word, stem")
-        return stored(distinct.withColumn("stem", english_stem("word")), "stems")
+        return stored(distinct.withColumn("stem", english_stem("word")).select("word", "stem", "n"), "stems")
     given = stems.groupBy("word").agg(F.min("stem").alias("stem"))
     joined = distinct.join(given, "word", "left")
-    return stored(joined.withColumn("stem", F.coalesce("stem", "word")), "stems")
+    table = stored(joined.select("word", F.coalesce("stem", "word").alias("stem"), "n"), "stems")
+    if not table.where(F.contains("stem", F.lit(" "))).isEmpty():
+        raise ValueError("a stem must not hold a blank")
+    return table
 
 
 def stem_words(tokens: DataFrame, language: str = ENGLISH, stems: DataFrame | None = None) -> DataFrame:
@@ -63,7 +120,7 @@ def stem_words(tokens: DataFrame, language: str = ENGLISH, stems: DataFrame | No
 
     Only the vocabulary passes through the stemmer; the rows get their stem by a lookup.
     """
-    return lookup_join(tokens, stem_table(tokens, language, stems), "word")
+    return lookup_join(tokens, stem_table(tokens, language, stems).select("word", "stem"), "word")
 
 
 def union_stems_bigrams(stemmed: DataFrame, bigrams: DataFrame) -> DataFrame:

@@ -10,21 +10,25 @@ from textloom.operators.annotate import (
     coarse_pos,
     counted_pos,
     entity_counts,
+    entity_token_rows,
     merge_entity_spans,
-    pos_word_counts,
-    tag_entities,
     tag_pos,
-    token_rows,
+    token_words,
     topk_pos_words,
 )
 from textloom.operators.filters import without_stopword_rows
 
 
 def count_pos_words(docs: DataFrame, lexicon: DataFrame, language: str = "english") -> DataFrame:
-    """``word, pos, count`` of verbs, nouns, adverbs and adjectives that are no stop words."""
-    tagged = counted_pos(tag_pos(token_rows(docs).select("doc_id", "word"), lexicon))
-    kept = without_stopword_rows(tagged, default_stop_words(language))
-    return pos_word_counts(kept.withColumn("pos", coarse_pos(F.col("pos"))))
+    """``word, pos, count`` of verbs, nouns, adverbs and adjectives that are no stop words.
+
+    The tag depends on the word alone, so tokens are counted by word first and only distinct words
+    are tagged.
+    """
+    kept = without_stopword_rows(token_words(docs), default_stop_words(language))
+    counted = kept.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    tagged = counted_pos(tag_pos(counted, lexicon))
+    return tagged.select("word", coarse_pos(F.col("pos")).alias("pos"), "count")
 
 
 def top_words(docs: DataFrame, lexicon: DataFrame, pos: str = "VERB", k: int = 50) -> DataFrame:
@@ -34,4 +38,4 @@ def top_words(docs: DataFrame, lexicon: DataFrame, pos: str = "VERB", k: int = 5
 
 def count_entities(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Entities of a corpus, most frequent first."""
-    return entity_counts(merge_entity_spans(tag_entities(docs, lexicon)))
+    return entity_counts(merge_entity_spans(entity_token_rows(docs, lexicon)))
