@@ -43,7 +43,9 @@ def parse_scored_csv(line: Column) -> Column:
             "escape": '"',
             "ignoreLeadingWhiteSpace": "false",
             "ignoreTrailingWhiteSpace": "false",
+            # Empty in quotes is an empty text; only a field left out is null.
             "emptyValue": "",
+            "nullValue": "\0",
             "maxCharsPerColumn": "-1",
         },
     )
