@@ -47,7 +47,7 @@ def lookup_join(
     on = [on] if isinstance(on, str) else list(on)
     if lookup_bytes(lookup) <= max_bytes:
         return rows.join(F.broadcast(lookup), on, how)
-    salts = F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))
-    salted_lookup = lookup.withColumn("_salt", F.explode(salts).cast("long"))
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALT_BUCKETS - 1).cast("long"))
+    salted_lookup = lookup.withColumn("_salt", F.explode(salts))
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALT_BUCKETS)))
     return salted_rows.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
