@@ -551,12 +551,12 @@ def document_assemble(spark, sf_dir):
 @query
 def detect_sentences(spark, sf_dir):
     docs = an.detect_sentences(an.assemble(documents(spark, sf_dir)))
-    return _annotations(docs, "sentence")
+    return an.annotation_rows(docs, "sentence")
 
 
 @query
 def tokenize_annotations(spark, sf_dir):
-    return _annotations(an.annotate(documents(spark, sf_dir)), "token")
+    return an.annotation_rows(an.annotate(documents(spark, sf_dir)), "token")
 
 
 @query
@@ -568,14 +568,6 @@ def annotate_documents(spark, sf_dir):
     )
 
 
-def _annotations(docs: DataFrame, column: str) -> DataFrame:
-    rows = docs.select("doc_id", F.explode(column).alias("a"))
-    return rows.select(
-        "doc_id", "a.annotatorType", "a.begin", "a.end", "a.result",
-        F.col("a.metadata")["sentence"].cast("int").alias("sentence"),
-    )
-
-
 @query
 def tag_entities_dict(spark, sf_dir):
     labelled = an.tag_entities(documents(spark, sf_dir), entity_lexicon(spark, sf_dir))

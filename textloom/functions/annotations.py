@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,36 +36,36 @@ def running_total(numbers: Column) -> Column:
     )
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """Array of ``begin, end, result`` for each match; both ends counted in characters, inclusive."""
+def _span(begin: Column, end: Column, result: Column) -> Column:
+    return F.struct(begin.alias("begin"), end.alias("end"), result.alias("result"))
+
+
+def spans(
+    text: Column, pattern: str, build: Callable[[Column, Column, Column], Column] = _span, base: Column | None = None
+) -> Column:
+    """Array of ``begin, end, result`` for each match; both ends counted in characters, inclusive.
+
+    ``base`` is added to both ends; ``build`` makes another element of the three values.
+    """
 
     def locate(parts: Column) -> Column:
-        steps = F.transform(
-            parts["found"],
-            lambda _, i: F.length(F.get(parts["gaps"], i))
-            + F.coalesce(F.length(F.get(parts["found"], i - 1)), F.lit(0)),
-        )
-        return F.zip_with(
-            parts["found"],
-            bind(steps, running_total),
-            lambda hit, begin: F.struct(
-                begin.alias("begin"),
-                (begin + F.length(hit) - 1).alias("end"),
-                hit.alias("result"),
-            ),
-        )
+        def step(_, i):
+            gap = F.length(F.get(parts["gaps"], i))
+            return gap + F.when(i > 0, F.length(F.get(parts["found"], i - 1))).otherwise(
+                F.lit(0) if base is None else base
+            )
+
+        def element(hit, begin):
+            return build(begin, begin + F.length(hit) - 1, hit)
+
+        return F.zip_with(parts["found"], bind(F.transform(parts["found"], step), running_total), element)
 
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern)
     return bind(F.struct(found.alias("found"), gaps.alias("gaps")), locate)
 
 
-def _annotation(kind: str, begin: Column, end: Column, result: Column, sentence: Column | None) -> Column:
-    metadata = (
-        F.create_map(F.lit("sentence"), sentence.cast("string"))
-        if sentence is not None
-        else F.create_map().cast("map<string,string>")
-    )
+def _annotation(kind: str, begin: Column, end: Column, result: Column, metadata: Column) -> Column:
     return F.struct(
         F.lit(kind).alias("annotatorType"),
         begin.alias("begin"),
@@ -75,27 +77,27 @@ def _annotation(kind: str, begin: Column, end: Column, result: Column, sentence:
 
 def document_annotation(text: Column) -> Column:
     """The whole text as an array of one annotation."""
-    return F.array(_annotation("document", F.lit(0), F.length(text) - 1, text, None))
+    no_metadata = F.create_map().cast("map<string,string>")
+    return F.array(_annotation("document", F.lit(0), F.length(text) - 1, text, no_metadata))
 
 
 def sentence_annotations(document: Column, pattern: str = SENTENCE) -> Column:
     """Sentences of a document annotation, numbered from 0 in ``metadata.sentence``."""
     return F.transform(
         spans(F.get(document, F.lit(0))["result"], pattern),
-        lambda s, i: _annotation("sentence", s["begin"], s["end"], s["result"], i),
+        lambda s, i: _annotation(
+            "sentence", s["begin"], s["end"], s["result"], F.create_map(F.lit("sentence"), i.cast("string"))
+        ),
     )
 
 
 def token_annotations(sentences: Column, pattern: str = TOKEN) -> Column:
-    """Tokens of all sentences with offsets in the document."""
-    return F.flatten(
-        F.transform(
-            sentences,
-            lambda s, i: F.transform(
-                spans(s["result"], pattern),
-                lambda t: _annotation(
-                    "token", s["begin"] + t["begin"], s["begin"] + t["end"], t["result"], i
-                ),
-            ),
-        )
-    )
+    """Tokens of all sentences with offsets in the document and the metadata of their sentence."""
+
+    def of_sentence(s):
+        def token(begin, end, result):
+            return _annotation("token", begin, end, result, s["metadata"])
+
+        return spans(s["result"], pattern, token, s["begin"])
+
+    return F.flatten(F.transform(sentences, of_sentence))

@@ -53,6 +53,19 @@ def annotate(docs: DataFrame, text: str = "text") -> DataFrame:
     return tokenize_annotations(detect_sentences(assemble(docs, text)))
 
 
+def annotation_rows(docs: DataFrame, column: str, id_col: str = "doc_id") -> DataFrame:
+    """One row per annotation of a column, with its sentence number.
+
+    The outer explode keeps Spark from testing the array for emptiness first, which would build all
+    annotations twice, the first time before the texts are spread over the cores.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.explode_outer(column).alias("a"))
+    return rows.where(F.col("a").isNotNull()).select(
+        "doc_id", "a.annotatorType", "a.begin", "a.end", "a.result",
+        F.col("a.metadata")["sentence"].cast("int").alias("sentence"),
+    )
+
+
 def sentence_rows(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``doc_id, sentence, result`` row per sentence, numbered from 0."""
     found = F.regexp_extract_all(F.col(text), F.lit(SENTENCE), F.lit(0))
@@ -145,33 +158,44 @@ def phrase_lexicon(lexicon: DataFrame) -> DataFrame:
 def entity_matches(sentences: DataFrame, phrases: DataFrame) -> DataFrame:
     """``doc_id, sentence, token, size, words, tag`` row per place where a phrase starts.
 
-    Only phrase lengths that occur in the lexicon are generated, and each candidate meets the
-    lookup in the same stage, so candidates that match nothing go no further.
+    Each token is laid beside the tokens that follow it, up to the longest phrase. Only phrase
+    lengths that occur in the lexicon become candidates, and each candidate meets the lookup in the
+    same stage, so those that match nothing go no further.
     """
     # One row per phrase length.
-    sizes = [r["size"] for r in phrases.select("size").distinct().orderBy("size").collect()]
+    sizes = [r["size"] for r in phrases.select("size").distinct().orderBy("size").collect()] or [1]
+    following = [f"t{k}" for k in range(max(sizes))]
     words = F.regexp_extract_all("result", F.lit(TOKEN), F.lit(0))
-    lengths = F.array(*[F.lit(s) for s in sizes]).cast("array<int>")
-    by_size = sentences.select("doc_id", "sentence", words.alias("w"), F.explode(lengths).alias("size"))
+    shifted = [F.slice("w", F.lit(k + 1), F.size("w")).alias(name) for k, name in enumerate(following)]
+    starts = sentences.select("doc_id", "sentence", words.alias("w")).select(
+        "doc_id", "sentence", F.posexplode(F.arrays_zip(*shifted)).alias("token", "t")
+    )
 
-    def run(_, i):
-        taken = F.slice("w", i + 1, F.col("size"))
-        return F.struct(F.lower(F.array_join(taken, " ")).alias("phrase"), taken.alias("words"))
+    def candidate(size):
+        # Null where the sentence ends before the phrase would.
+        taken = [part for name in following[:size] for part in (F.lit(" "), F.col(f"t.{name}"))][1:]
+        return F.struct(F.lit(size).alias("size"), F.lower(F.concat(*taken)).alias("phrase"))
 
-    starts = F.slice("w", F.lit(1), F.greatest(F.size("w") - F.col("size") + 1, F.lit(0)))
-    candidates = by_size.select(
-        "doc_id", "sentence", "size", F.posexplode(F.transform(starts, run)).alias("token", "r")
-    ).select("doc_id", "sentence", "token", "size", "r.phrase", "r.words")
+    candidates = starts.select(
+        "doc_id",
+        "sentence",
+        "token",
+        F.array(*[F.col(f"t.{name}") for name in following]).alias("next"),
+        F.explode(F.array(*[candidate(size) for size in sizes])).alias("c"),
+    ).select("doc_id", "sentence", "token", "next", "c.size", "c.phrase")
     found = lookup_join(candidates, phrases, ["phrase", "size"])
-    return found.select("doc_id", "sentence", "token", "size", "words", "tag")
+    return found.select(
+        "doc_id", "sentence", "token", "size", F.slice("next", F.lit(1), F.col("size")).alias("words"), "tag"
+    )
 
 
 def entity_labels(matches: DataFrame) -> DataFrame:
     """``doc_id, sentence, token, word, ner``: each covered token takes the longest match over it.
 
-    Matches of equal length go to the earlier start, then to the smaller tag.
+    Matches of equal length go to the earlier start, then to the smaller tag. The rows are clustered
+    by sentence, which also serves joining neighbours later.
     """
-    covered = matches.select(
+    covered = matches.repartition("doc_id", "sentence").select(
         "doc_id",
         "sentence",
         F.col("token").alias("start"),
