@@ -489,3 +489,23 @@ oracle(
 _ANALYSIS = f"{words(NO_STOPS)}, {PAIRS}, {CUT_STEMS}, {counts('stem', 'stemmed')}, {VOCABULARY}"
 oracle("analyze_table_features", f"WITH {_ANALYSIS} {FEATURES}")
 oracle("analyze_table_ngrams", f"WITH {_ANALYSIS} {DICTIONARY}")
+oracle("doc_stems_table", f"WITH {words(NO_STOPS)}, {PAIRS}, {CUT_STEMS} SELECT word, doc_id, stem FROM stemmed")
+_SET = words(NO_STOPS, "(SELECT * FROM documents WHERE source = 'src1')")
+_SET_ANALYSIS = f"{_SET}, {PAIRS}, {CUT_STEMS}, {counts('stem', 'stemmed')}, {VOCABULARY}"
+oracle("process_documents", f"WITH {_SET_ANALYSIS} {FEATURES}")
+oracle("process_documents_ngrams", f"WITH {_SET_ANALYSIS} SELECT *, 'c1' AS oid FROM ({DICTIONARY})")
+
+# --- scored streams: which messages come out, and that scores agree -----------------------------
+
+oracle("model_save_load", "SELECT doc_id, true AS agrees FROM documents")
+oracle("micro_batch_score", "SELECT doc_id, true AS agrees FROM documents")
+oracle(
+    "hashtag_scoring_stream",
+    """SELECT text || ' #' || source AS status, 1704067200 + doc_id AS created, true AS scored
+    FROM documents WHERE lang = 'en'""",
+)
+oracle(
+    "sentiment_scoring_stream",
+    "SELECT text AS status, true AS scored FROM (" + ORACLES["filter_any_keyword"] + ")",
+)
+oracle("naive_bayes_fit", ORACLES["nb_log_theta"])

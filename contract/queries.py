@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -215,12 +218,20 @@ def save_doc_features(spark, sf_dir):
     return spark.read.parquet(f"{base}/{writers.FEATURE_COLLECTION}")
 
 
+def _agreement(scored: DataFrame, rows: DataFrame, model, key: str) -> DataFrame:
+    """Each scored row with whether a plain table scored by the same model has the same prediction."""
+    table_scores = sentiment.score(rows, model).select(key, F.col("prediction").alias("expected"))
+    return scored.join(table_scores, key).select(key, (F.col("prediction") == F.col("expected")).alias("agrees"))
+
+
 @query
 def model_save_load(spark, sf_dir):
-    path = scratch_path(spark, "model")
-    sentiment.save_model(fitted(spark, sf_dir), path)
+    """The loaded model predicts what the fitted one does, for every document."""
+    model, path = fitted(spark, sf_dir), scratch_path(spark, "model")
+    sentiment.save_model(model, path)
     rows = documents(spark, sf_dir).withColumnRenamed("text", "status")
-    return sentiment.score(rows, sentiment.load_model(path)).select("doc_id", "prediction")
+    loaded = sentiment.score(rows, sentiment.load_model(path)).select("doc_id", "prediction")
+    return _agreement(loaded, rows, model, "doc_id")
 
 
 @query
@@ -499,6 +510,13 @@ def doc_stems(spark, sf_dir):
     return tokens.doc_stems(documents(spark, sf_dir), tx.default_stop_words(), bigrams=True)
 
 
+@query
+def doc_stems_table(spark, sf_dir):
+    """The same with stems given by a table."""
+    docs = documents(spark, sf_dir)
+    return tokens.doc_stems(docs, tx.default_stop_words(), bigrams=True, stems=_cut_stems(spark, sf_dir))
+
+
 @query
 def analyze_text_features(spark, sf_dir):
     return analyze.analyze_text(documents(spark, sf_dir), "c1", bigrams=True, min_df=MIN_DF)[0]
@@ -509,15 +527,29 @@ def analyze_text_ngrams(spark, sf_dir):
     return analyze.analyze_text(documents(spark, sf_dir), "c1", bigrams=False, min_df=MIN_DF)[1]
 
 
-@query
-def process_documents(spark, sf_dir):
+def _processed(spark, sf_dir) -> str:
+    """Folder with the collections of one document set, stems given by a table."""
     source, target = document_collection(spark, sf_dir), scratch_path(spark, "processed")
-    analyze.process_documents(spark, SET_ID, "c1", "json", source, target, COLLECTION_SCHEMA)
+    analyze.process_documents(
+        spark, SET_ID, "c1", "json", source, target, COLLECTION_SCHEMA,
+        bigrams=True, min_df=MIN_DF, stems=_cut_stems(spark, sf_dir),
+    )
+    return target
+
+
+@query
+def process_documents_ngrams(spark, sf_dir):
     schema = "stem string, unstemmed array<string>, count long, index long, word string, classifierId struct<oid: string>"
-    ngrams = spark.read.schema(schema).json(f"{target}/{writers.NGRAM_COLLECTION}")
+    ngrams = spark.read.schema(schema).json(f"{_processed(spark, sf_dir)}/{writers.NGRAM_COLLECTION}")
     return ngrams.withColumn("oid", F.col("classifierId.oid")).drop("classifierId")
 
 
+@query
+def process_documents(spark, sf_dir):
+    schema = "d long, indexes array<int>, counts array<int>, cId string"
+    return spark.read.schema(schema).json(f"{_processed(spark, sf_dir)}/{writers.FEATURE_COLLECTION}")
+
+
 @query
 def extract_hashtags(spark, sf_dir):
     return trends.hashtag_rows(event_records(spark, sf_dir))
@@ -626,7 +658,20 @@ def nb_log_theta(spark, sf_dir):
 
 @query
 def naive_bayes_fit(spark, sf_dir):
-    """Class sizes the fitted model predicts on its own training rows."""
+    """The fitted estimator's log probability of each term in each class, over an explicit vocabulary."""
+    rows = training(spark, sf_dir).select("label", tx.tokenize_regex(F.col("status")).alias("words"))
+    vectorizer = CountVectorizer(inputCol="words", outputCol="features", minDF=MIN_DF)
+    model = Pipeline(stages=[vectorizer, sentiment.naive_bayes()]).fit(rows)
+    terms, theta = model.stages[0].vocabulary, model.stages[1].theta.toArray()
+    # The model itself: one number per class and vocabulary term.
+    by_class = [pd.DataFrame({"label": k, "term": terms, "log_theta": theta[k]}) for k in range(len(theta))]
+    fitted_values = spark.createDataFrame(pd.concat(by_class), "label int, term string, log_theta double")
+    return fitted_values.withColumn("log_theta", F.round("log_theta", 9))
+
+
+@query
+def sentiment_fit(spark, sf_dir):
+    """How the fitted pipeline classifies its own training rows, by label name."""
     rows = training(spark, sf_dir)
     scored = sentiment.score(rows, sentiment.fit_sentiment(rows, named=True))
     return scored.groupBy("label", "predicted_label").agg(F.count(F.lit(1)).alias("n"))
@@ -673,24 +718,41 @@ def queue_round_trip(spark, sf_dir):
     return tags.groupBy("hashtag").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 6).alias("avg"))
 
 
+def is_class(prediction) -> F.Column:
+    return prediction.isin(0.0, 1.0)
+
+
 @query
 def hashtag_scoring_stream(spark, sf_dir):
+    """Published CSV lines, parsed again: each message once, scored with a class index."""
     messages = tagged_messages(stream_of(spark, sf_dir, "documents"))
     lines = drained(streams.hashtag_lines(messages, fitted(spark, sf_dir)), "hashtag-lines")
     parsed = lines.select(msg.parse_scored_csv(F.col("value")).alias("r"))
-    return parsed.select("r.prediction", "r.status")
+    return parsed.select(
+        "r.status", F.unix_timestamp("r.createdAt").alias("created"), is_class(F.col("r.prediction")).alias("scored")
+    )
 
 
 @query
 def sentiment_scoring_stream(spark, sf_dir):
+    """Published text lines, taken apart again: each message once, scored with a class index."""
     messages = live_messages(stream_of(spark, sf_dir, "documents"))
-    return drained(streams.sentiment_lines(messages, fitted(spark, sf_dir)), "sentiment-lines")
+    lines = drained(streams.sentiment_lines(messages, fitted(spark, sf_dir)), "sentiment-lines")
+    at = F.locate(msg.SCORE_MARK, F.col("value"))
+    return lines.select(
+        F.substring("value", at + len(msg.SCORE_MARK), F.length("value")).alias("status"),
+        is_class(F.substring("value", F.lit(1), at - 1).try_cast("double")).alias("scored"),
+    )
 
 
 @query
 def micro_batch_score(spark, sf_dir):
+    """Stream and table give every document the same prediction."""
+    model = fitted(spark, sf_dir)
     rows = stream_of(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("status"))
-    return drained(sentiment.score(rows, fitted(spark, sf_dir)).select("doc_id", "prediction"), "scores")
+    scored = drained(sentiment.score(rows, model).select("doc_id", "prediction"), "scores")
+    table_rows = documents(spark, sf_dir).withColumnRenamed("text", "status")
+    return _agreement(scored, table_rows, model, "doc_id")
 
 
 def _cut_stems(spark, sf_dir) -> DataFrame:

@@ -241,3 +241,28 @@ def test_small_filters(spark):
     assert ids(found) == []
     assert ids(filters.status_like(df, "%#y%", "text")) == [0, 1]
     assert filters.renamed(df, {"doc_id": "d"}).columns == ["d"]
+
+
+def test_stored_tables_belong_to_the_application_and_can_be_cleared(spark, tmp_path, monkeypatch):
+    from textloom import session
+
+    monkeypatch.setattr(session, "scratch_dir", lambda _: str(tmp_path))
+    table = session.stored(spark.range(3), "numbers")
+    assert table.count() == 3
+    folder = tmp_path / "textloom" / spark.sparkContext.applicationId
+    assert [p.name.split("-")[0] for p in folder.iterdir()] == ["numbers"]
+    session.clear_scratch(spark)
+    assert not folder.exists()
+
+
+def test_the_scratch_folder_is_the_one_the_session_names(spark):
+    from textloom import session
+
+    assert session.scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
+    from textloom.session import spread
+
+    assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 8
+    assert spread(spark.range(100, numPartitions=6)).rdd.getNumPartitions() == 6

@@ -40,9 +40,20 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def job_dir(spark: SparkSession) -> str:
+    """The part of the scratch folder that belongs to this application."""
+    return f"{scratch_dir(spark).rstrip('/')}/textloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the scratch folder."""
-    return f"{scratch_dir(spark).rstrip('/')}/textloom/{label}-{uuid.uuid4().hex}"
+    return f"{job_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's stored tables, once no frame built on them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(job_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -58,9 +69,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that has fewer splits than the cluster has cores.
+    """Give every core a share of an input whose splits would leave half of the cores idle.
 
-    Inputs with at least as many splits as cores, so all large ones, are returned as they are.
+    All larger inputs are returned as they are, so no large text is shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
