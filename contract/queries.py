@@ -42,8 +42,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def plain_documents(spark, sf_dir, *columns: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
+
+
 def documents(spark, sf_dir, *columns: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *columns))
+    """Documents for work that costs more than moving a small table to all cores."""
+    return spread(plain_documents(spark, sf_dir, *columns))
 
 
 def word_table(spark, sf_dir, stop_words=()) -> DataFrame:
@@ -236,7 +241,7 @@ def model_save_load(spark, sf_dir):
 
 @query
 def temp_view_sql(spark, sf_dir):
-    docs = documents(spark, sf_dir, "source")
+    docs = plain_documents(spark, sf_dir, "source")
     return filters.query_view(docs, "corpus", "SELECT doc_id, source FROM corpus WHERE source = :s", s=SET_ID)
 
 
@@ -245,34 +250,34 @@ def temp_view_sql(spark, sf_dir):
 
 @query
 def filter_null_text(spark, sf_dir):
-    nulled = documents(spark, sf_dir, "lang").withColumn("text", F.when(F.col("lang") != "fr", F.col("text")))
+    nulled = plain_documents(spark, sf_dir, "lang").withColumn("text", F.when(F.col("lang") != "fr", F.col("text")))
     return filters.with_text(nulled).select("doc_id", "text")
 
 
 @query
 def filter_lang_hashtag(spark, sf_dir):
-    return filters.with_hashtag(documents(spark, sf_dir, "lang")).select("doc_id", "text")
+    return filters.with_hashtag(plain_documents(spark, sf_dir, "lang")).select("doc_id", "text")
 
 
 @query
 def filter_any_keyword(spark, sf_dir):
-    return filters.with_any_keyword(documents(spark, sf_dir, "lang")).select("doc_id", "text")
+    return filters.with_any_keyword(plain_documents(spark, sf_dir, "lang")).select("doc_id", "text")
 
 
 @query
 def filter_like(spark, sf_dir):
-    return filters.status_like(documents(spark, sf_dir), "%tion%", "text").select("doc_id")
+    return filters.status_like(plain_documents(spark, sf_dir), "%tion%", "text").select("doc_id")
 
 
 @query
 def filter_nested_field(spark, sf_dir):
-    docs = documents(spark, sf_dir, "source").withColumn("mongoSetId", filters.object_id(F.col("source")))
+    docs = plain_documents(spark, sf_dir, "source").withColumn("mongoSetId", filters.object_id(F.col("source")))
     return filters.in_set(docs, SET_ID).select("doc_id", F.col("mongoSetId.oid").alias("oid"))
 
 
 @query
 def filter_not_null_key(spark, sf_dir):
-    keyed = documents(spark, sf_dir, "lang").withColumn("cId", F.when(F.col("lang") == "en", "c1"))
+    keyed = plain_documents(spark, sf_dir, "lang").withColumn("cId", F.when(F.col("lang") == "en", "c1"))
     return filters.key_not_null(keyed, "cId").select("doc_id", "cId")
 
 
@@ -563,20 +568,20 @@ def parse_scored_csv(spark, sf_dir):
 
 @query
 def format_scored_csv(spark, sf_dir):
-    docs = documents(spark, sf_dir)
+    docs = plain_documents(spark, sf_dir)
     line = msg.scored_csv(F.lit(1.0), F.col("text"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     return docs.select("doc_id", line.alias("value"))
 
 
 @query
 def cast_bytes_to_string(spark, sf_dir):
-    body = documents(spark, sf_dir).select(F.encode("text", "UTF-8").alias("value"))
+    body = plain_documents(spark, sf_dir).select(F.encode("text", "UTF-8").alias("value"))
     return stream_sources.cast_value(body)
 
 
 @query
 def document_assemble(spark, sf_dir):
-    docs = an.assemble(documents(spark, sf_dir)).select("doc_id", F.explode("document").alias("a"))
+    docs = an.assemble(plain_documents(spark, sf_dir)).select("doc_id", F.explode("document").alias("a"))
     return docs.select("doc_id", "a.annotatorType", "a.begin", "a.end", "a.result")
 
 

@@ -1,7 +1,9 @@
 import datetime as dt
 import json
+import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from textloom.functions import messages as msg
@@ -187,3 +189,54 @@ def test_interval_trigger(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "out")).count() == len(ROWS)
     finally:
         query.stop()
+
+
+def test_update_mode_emits_a_window_again_when_it_changes(spark, tmp_path):
+    for i, rows in enumerate([[(1.0, "#a", at(1))], [(1.0, "#a", at(2)), (1.0, "#b", at(3))]]):
+        drop_lines(tmp_path / "in", f"{i}.txt", rows)
+        os.utime(tmp_path / "in" / f"{i}.txt", (1_700_000_000 + i, 1_700_000_000 + i))
+    records = record_stream(spark, tmp_path / "in", maxFilesPerTrigger="1")
+    trend = trends.window_bounds(queries.popular_trends(records, 0))
+    got = run_to_memory(trend, "trend_update", "update", tmp_path / "cp").where(F.col("start") == at(0)).collect()
+    assert sorted((r["hashtag"], r["count"]) for r in got) == [("#a", 1), ("#a", 2), ("#b", 1)]
+
+
+def test_state_can_live_on_disk(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    previous = spark.conf.get(key)
+    queries.use_disk_state(spark)
+    try:
+        drop_lines(tmp_path / "in", "1.txt", ROWS)
+        report = queries.trend_report(record_stream(spark, tmp_path / "in"))
+        got = run_to_memory(report, "trend_disk", "complete", tmp_path / "cp").collect()
+    finally:
+        spark.conf.set(key, previous)
+    assert got == queries.trend_report(spark.createDataFrame(ROWS, RECORD)).collect()
+
+
+def test_without_its_connector_the_queue_is_refused(spark, model, tmp_path):
+    read, folder = message_folder(tmp_path)
+    with pytest.raises(AnalysisException, match="kafka"):
+        sources.queue_source(spark, "h:1", "topic")
+    for start in [queries.start_hashtag_scoring, queries.start_sentiment_scoring]:
+        with pytest.raises(AnalysisException, match="kafka"):
+            start(read(spark, folder), model, "h:1", "topic", str(tmp_path / "cp"))
+
+
+def test_a_stream_cannot_be_sorted_outside_complete_mode(spark, tmp_path):
+    drop_lines(tmp_path / "in", "1.txt", ROWS)
+    report = queries.trend_report(record_stream(spark, tmp_path / "in"))
+    with pytest.raises(AnalysisException, match="[Ss]ort"):
+        run_to_memory(report, "sorted_append", "append", tmp_path / "cp")
+
+
+def test_a_restarted_stream_goes_on_where_it_stopped(spark, model, tmp_path):
+    read, folder = message_folder(tmp_path)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    for extra in (False, True):
+        if extra:
+            more = {"lang": "en", "text": "good #again", "createdAt": "2024-01-01T13:00:00Z"}
+            (tmp_path / "in" / "n.json").write_text(json.dumps(more), encoding="utf-8")
+        queries.until_drained(queries.file_sink(queries.hashtag_lines(read(spark, folder), model), out, checkpoint, "text"))
+    got = sorted(r["value"] for r in spark.read.text(out).collect())
+    assert got == ['"1.0","good #again","2024-01-01 13:00:00.0"', '"1.0","happy #sun, ""good""","2024-01-01 12:00:00.0"']

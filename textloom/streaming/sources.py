@@ -38,9 +38,15 @@ def file_source(
     return spark.readStream.schema(schema).format(fmt).options(**(options or {})).load(path)
 
 
-def message_stream(spark: SparkSession, path: str, fmt: str = "json", schema: str = MESSAGE_SCHEMA) -> DataFrame:
+def message_stream(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "json",
+    schema: str = MESSAGE_SCHEMA,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
     """Live messages ``lang, text, createdAt`` that another service drops into a folder."""
-    return file_source(spark, path, schema, fmt)
+    return file_source(spark, path, schema, fmt, options)
 
 
 def messages_from_queue(lines: DataFrame, schema: str = MESSAGE_SCHEMA) -> DataFrame:
