@@ -509,3 +509,135 @@ oracle(
     "SELECT text AS status, true AS scored FROM (" + ORACLES["filter_any_keyword"] + ")",
 )
 oracle("naive_bayes_fit", ORACLES["nb_log_theta"])
+
+# --- English stems by the published rules, one step per table expression ------------------------
+
+_REGION = "^.*?[aeiouy][^aeiouy]"
+_SHORT = "^[aeiouy][^aeiouy]$|[^aeiouy][aeiouy][^aeiouywxY]$"
+ENGLISH_STEMS = f"""
+    marked AS (
+        SELECT word, regexp_replace(regexp_replace(word, '^y', 'Y'), '([aeiouy])y', '\\1Y', 'g') AS w
+        FROM (SELECT DISTINCT word FROM pw)
+    ),
+    first_region AS (
+        SELECT *, CASE WHEN starts_with(w, 'gener') OR starts_with(w, 'arsen') THEN 5
+                       WHEN starts_with(w, 'commun') THEN 6
+                       ELSE coalesce(nullif(length(regexp_extract(w, '{_REGION}')), 0), length(w)) END AS r1
+        FROM marked
+    ),
+    regions AS (
+        SELECT *, r1 + coalesce(nullif(length(regexp_extract(substr(w, r1 + 1), '{_REGION}')), 0), length(w) - r1) AS r2
+        FROM first_region
+    ),
+    singular AS (
+        SELECT word, r1, r2, CASE
+            WHEN w LIKE '%sses' THEN left(w, -2)
+            WHEN w LIKE '%ied' OR w LIKE '%ies' THEN left(w, CASE WHEN length(w) > 4 THEN -2 ELSE -1 END)
+            WHEN w LIKE '%us' OR w LIKE '%ss' THEN w
+            WHEN w LIKE '%s' AND regexp_matches(left(w, -2), '[aeiouy]') THEN left(w, -1)
+            ELSE w END AS w
+        FROM regions
+    ),
+    tense AS (
+        SELECT *, left(w, length(w) - length(suffix)) AS base
+        FROM (SELECT *, regexp_extract(w, '(eedly|eed|ingly|edly|ing|ed)$') AS suffix FROM singular)
+    ),
+    plain AS (
+        SELECT word, r1, r2, w AS one, CASE
+            WHEN suffix = '' THEN w
+            WHEN suffix LIKE 'eed%' THEN CASE WHEN length(base) >= r1 THEN base || 'ee' ELSE w END
+            WHEN NOT regexp_matches(base, '[aeiouy]') THEN w
+            WHEN regexp_matches(base, '(at|bl|iz)$') THEN base || 'e'
+            WHEN regexp_matches(base, '(bb|dd|ff|gg|mm|nn|pp|rr|tt)$') THEN left(base, -1)
+            WHEN length(base) <= r1 AND regexp_matches(base, '{_SHORT}') THEN base || 'e'
+            ELSE base END AS w
+        FROM tense
+    ),
+    ended_y AS (
+        SELECT word, r1, r2, one,
+               CASE WHEN length(w) > 2 THEN regexp_replace(w, '([^aeiouy])[yY]$', '\\1i') ELSE w END AS w
+        FROM plain
+    ),
+    derived AS (
+        SELECT *, left(w, length(w) - length(suffix)) AS base FROM (
+            SELECT *, regexp_extract(w, '(tional|enci|anci|abli|entli|izer|ization|ational|ation|ator|alism|aliti|alli|fulness|ousli|ousness|iveness|iviti|biliti|bli|ogi|fulli|lessli|li)$') AS suffix
+            FROM ended_y)
+    ),
+    step_two AS (
+        SELECT word, r1, r2, one, CASE
+            WHEN suffix = '' OR length(base) < r1 THEN w
+            WHEN suffix = 'li' THEN CASE WHEN regexp_matches(base, '[cdeghkmnrt]$') THEN base ELSE w END
+            WHEN suffix = 'ogi' THEN CASE WHEN base LIKE '%l' THEN base || 'og' ELSE w END
+            ELSE base || CASE suffix
+                WHEN 'tional' THEN 'tion' WHEN 'enci' THEN 'ence' WHEN 'anci' THEN 'ance'
+                WHEN 'abli' THEN 'able' WHEN 'entli' THEN 'ent' WHEN 'izer' THEN 'ize'
+                WHEN 'ization' THEN 'ize' WHEN 'ational' THEN 'ate' WHEN 'ation' THEN 'ate'
+                WHEN 'ator' THEN 'ate' WHEN 'alism' THEN 'al' WHEN 'aliti' THEN 'al' WHEN 'alli' THEN 'al'
+                WHEN 'fulness' THEN 'ful' WHEN 'ousli' THEN 'ous' WHEN 'ousness' THEN 'ous'
+                WHEN 'iveness' THEN 'ive' WHEN 'iviti' THEN 'ive' WHEN 'biliti' THEN 'ble'
+                WHEN 'bli' THEN 'ble' WHEN 'fulli' THEN 'ful' WHEN 'lessli' THEN 'less' END
+            END AS w
+        FROM derived
+    ),
+    step_three AS (
+        SELECT word, r1, r2, one, CASE
+            WHEN suffix = '' OR length(base) < CASE suffix WHEN 'ative' THEN r2 ELSE r1 END THEN w
+            ELSE base || CASE suffix
+                WHEN 'tional' THEN 'tion' WHEN 'ational' THEN 'ate' WHEN 'alize' THEN 'al' WHEN 'icate' THEN 'ic'
+                WHEN 'iciti' THEN 'ic' WHEN 'ical' THEN 'ic' ELSE '' END
+            END AS w
+        FROM (
+            SELECT *, left(w, length(w) - length(suffix)) AS base
+            FROM (SELECT *, regexp_extract(w, '(tional|ational|alize|icate|iciti|ical|ful|ness|ative)$') AS suffix FROM step_two)
+        )
+    ),
+    step_four AS (
+        SELECT word, r1, r2, one,
+               CASE WHEN suffix <> '' AND length(base) >= r2 AND (suffix <> 'ion' OR regexp_matches(base, '[st]$'))
+                    THEN base ELSE w END AS w
+        FROM (
+            SELECT *, left(w, length(w) - length(suffix)) AS base FROM (
+                SELECT *, regexp_extract(w, '(al|ance|ence|er|ic|able|ible|ant|ement|ment|ent|ism|ate|iti|ous|ive|ize|ion)$') AS suffix
+                FROM step_three)
+        )
+    ),
+    step_five AS (
+        SELECT word, one, CASE
+            WHEN w LIKE '%e' AND (length(w) > r2
+                 OR (length(w) > r1 AND NOT regexp_matches(left(w, -1), '{_SHORT}'))) THEN left(w, -1)
+            WHEN w LIKE '%ll' AND length(w) > r2 THEN left(w, -1)
+            ELSE w END AS w
+        FROM step_four
+    ),
+    english AS (
+        SELECT word, CASE
+            WHEN word = 'skis' THEN 'ski' WHEN word = 'skies' THEN 'sky' WHEN word = 'dying' THEN 'die'
+            WHEN word = 'lying' THEN 'lie' WHEN word = 'tying' THEN 'tie' WHEN word = 'idly' THEN 'idl'
+            WHEN word = 'gently' THEN 'gentl' WHEN word = 'ugly' THEN 'ugli' WHEN word = 'early' THEN 'earli'
+            WHEN word = 'only' THEN 'onli' WHEN word = 'singly' THEN 'singl'
+            WHEN word IN ('sky', 'news', 'howe', 'atlas', 'cosmos', 'bias', 'andes') OR length(word) <= 2 THEN word
+            WHEN one IN ('inning', 'outing', 'canning', 'herring', 'earring', 'proceed', 'exceed', 'succeed') THEN one
+            ELSE replace(w, 'Y', 'y') END AS stem
+        FROM step_five
+    )"""
+_UNIGRAMS = "stemmed AS (SELECT pw.doc_id, pw.word, english.stem FROM pw JOIN english USING (word))"
+_WITH_PAIRS = """
+    stemmed AS (
+        SELECT pw.doc_id, pw.word, english.stem FROM pw JOIN english USING (word)
+        UNION ALL SELECT doc_id, word, word AS stem FROM pairs
+    )"""
+oracle(
+    "stem_words",
+    f"""WITH {words()}, {ENGLISH_STEMS}, {_UNIGRAMS}
+    SELECT stem, word, count(*) AS n FROM stemmed GROUP BY stem, word""",
+)
+_STOPPED = f"{words(NO_STOPS)}, {ENGLISH_STEMS}"
+oracle("doc_stems", f"WITH {_STOPPED}, {PAIRS}, {_WITH_PAIRS} SELECT word, doc_id, stem FROM stemmed")
+oracle(
+    "analyze_text_features",
+    f"WITH {_STOPPED}, {PAIRS}, {_WITH_PAIRS}, {counts('stem', 'stemmed')}, {VOCABULARY} {FEATURES}",
+)
+oracle(
+    "analyze_text_ngrams",
+    f"WITH {_STOPPED}, {_UNIGRAMS}, {counts('stem', 'stemmed')}, {VOCABULARY} {DICTIONARY}",
+)
