@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.common import (
@@ -78,46 +78,52 @@ def set_key(values: np.ndarray) -> tuple[int, int]:
 
 
 def set_prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id, n, s1, s2, p1, p2, prefix`` of each row: set size, set key, prefix key and prefix."""
+    """``doc_id, n, s1, s2, p1, p2, rare, often`` of each row: set size, set key, prefix key and prefix.
+
+    ``often`` holds the shingles of the prefix that are among the most frequent ones of the corpus.
+    """
     frequent, counts = frequent_shingles(docs, words)
     shared = docs.sparkSession.sparkContext.broadcast((frequent, counts))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, counts = shared.value
         for batch in batches:
-            n, keys, heads = [], [], []
+            n, keys, heads, tails = [], [], [], []
             for values in shingle_sets(*arrow_text(batch.column(1)), words):
                 n.append(len(values))
                 keys.append(set_key(values))
                 length = prefix_length(len(values), percent)
+                often = values[:0]
                 if len(frequent) and len(values):
                     at = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
                     weight = np.where(frequent[at] == values, counts[at], 0)
-                    rare = values[weight == 0]
-                    if len(rare) < length:
-                        known = np.flatnonzero(weight)
-                        known = known[np.argsort(weight[known], kind="stable")]
-                        rare = np.concatenate([rare, values[known]])
-                    values = rare
+                    known = np.flatnonzero(weight)
+                    often = values[known[np.argsort(weight[known], kind="stable")]]
+                    values = values[weight == 0]
                 heads.append(values[:length].view(np.int64))
-            head_keys = [set_key(h.view(np.uint64)) for h in heads]
-            sizes = np.cumsum([0, *map(len, heads)]).astype(np.int32)
-            flat = np.concatenate(heads) if heads else np.zeros(0, np.int64)
+                tails.append(often[: max(0, length - len(values))].view(np.int64))
+            head_keys = [set_key(np.concatenate([h, t]).view(np.uint64)) for h, t in zip(heads, tails)]
             columns = [batch.column(0), pa.array(n, pa.int64())]
             columns += [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)]
             columns += [pa.array([k[i] for k in head_keys], pa.int64()) for i in (0, 1)]
-            columns.append(pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat)))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "s1", "s2", "p1", "p2", "prefix"])
+            for lists in (heads, tails):
+                sizes = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+                flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+                columns.append(pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat)))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "s1", "s2", "p1", "p2", "rare", "often"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n long, s1 long, s2 long, p1 long, p2 long, prefix array<long>"
+    schema = "doc_id long, n long, s1 long, s2 long, p1 long, p2 long, rare array<long>, often array<long>"
     return stored(rows.mapInArrow(prefixes, schema), "prefixes")
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The ``a, b`` pairs of classes whose whole shingle sets are similar enough, stored."""
+def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The ``a, b`` of pairs whose whole shingle sets are similar enough, stored.
+
+    ``pairs`` holds ``a, sa, b, sb``: two documents and the first key of their sets. Sets are computed again from
+    the texts of the documents asked for; only these move.
+    """
     wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-    wanted = stored(wanted.join(classes.select("cid", "s1"), "cid"), "wanted")
     shared = docs.sparkSession.sparkContext.broadcast(id_filter(wanted, "cid"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,8 +139,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     rows = rows.withColumn("slot", id_slot(F.col("doc_id")))
-    found = rows.mapInArrow(sets, "cid long, s1 long, shingles binary").join(wanted, ["cid", "s1"])
-    found = stored(found.dropDuplicates(["cid", "s1"]).drop("s1"), "sets")
+    found = stored(rows.mapInArrow(sets, "cid long, s1 long, shingles binary"), "sets")
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,10 +153,26 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = found.select(F.col("cid").alias("a"), F.col("shingles").alias("x"))
-    right = found.select(F.col("cid").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return stored(both.mapInArrow(similar, "a long, b long"), "links")
+    left = found.toDF("a", "sa", "x")
+    right = found.toDF("b", "sb", "y")
+    both = pairs.join(left, ["a", "sa"]).join(right, ["b", "sb"]).select("a", "b", "x", "y")
+    return stored(both.mapInArrow(similar, "a long, b long").distinct(), "links")
+
+
+def prefix_size(n: str, percent: int) -> F.Column:
+    """``prefix_length`` of a column."""
+    return F.col(n) - F.ceil(F.col(n) * percent / F.lit(100)) + 1
+
+
+def may_link(percent: int) -> F.Column:
+    """Whether sets of ``x`` and ``y`` shingles with ``common`` ones in both prefixes can be similar enough.
+
+    Of the two prefixes, all common shingles of the one that ends first in the order are in both; the rest
+    of that set bounds what else they share.
+    """
+    rest = F.greatest(F.col("x") - prefix_size("x", percent), F.col("y") - prefix_size("y", percent))
+    enough = (F.col("common") + rest) * (100 + percent) >= percent * (F.col("x") + F.col("y"))
+    return enough & (100 * F.least("x", "y") >= percent * F.greatest("x", "y"))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -167,9 +188,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     their prefixes. First every group is compared with the smallest group of each of its prefix
     shingles, and every class with its group's; that is linear however large a bucket is. Links make
     components. Then, in buckets that still hold several components, the classes outside the bucket's
-    largest component are compared with all classes of other components. Pairs inside a component need
-    no comparison, so no link that joins components is lost and no bucket is written out as pairs.
-    Shingles are compared by 64-bit hash, over the whole sets.
+    largest component are paired with the classes of other components, and pairs that share enough of
+    their prefixes are compared. Pairs inside a component need no comparison, so no link that joins
+    components is lost. Whole sets are compared, shingles by 64-bit hash.
 
     Edge cases: a null, empty or blank text has no shingles, ``n_shingles`` 0 and its own ``doc_id``;
     repeated rows give repeated results; rows without ``doc_id`` are left out of the links and keep a null
@@ -177,56 +198,72 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     are ignored.
     """
     own = set_prefixes(docs, words, percent)
-    filled = own.where("n > 0 and doc_id is not null")
-    named = filled.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("cid"))
-    first = filled.withColumnRenamed("doc_id", "cid").join(named, ["s1", "s2", "n", "cid"])
-    classes = stored(first.dropDuplicates(["s1", "s2", "n", "cid"]), "classes")
+    keys = own.where("n > 0 and doc_id is not null").drop("rare", "often")
+    # The prefix is a function of the set, so any row of a class has its key.
+    classes = keys.groupBy("s1", "s2", "n").agg(
+        F.min("doc_id").alias("cid"), F.min("p1").alias("p1"), F.min("p2").alias("p2")
+    )
+    classes = stored(classes, "classes")
     groups = classes.groupBy("n", "p1", "p2").agg(F.min("cid").alias("gid"))
     member = stored(classes.join(groups, ["n", "p1", "p2"]).select("cid", "s1", "s2", "n", "gid"), "members")
 
-    heads = classes.join(groups, ["n", "p1", "p2"]).where("cid = gid")
-    tokens = heads.select("gid", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.min("gid").alias("low"), F.count(F.lit(1)).alias("groups"))
-    buckets = stored(tokens.join(shared.where("groups > 1").drop("groups"), "token"), "buckets")
-
-    def fits(x: str, y: str) -> F.Column:
-        return (100 * F.least(x, y) >= percent * F.greatest(x, y))
-
-    sizes = member.select("cid", "n")
-    star = buckets.where("gid <> low").select(F.col("low").alias("a"), F.col("gid").alias("b")).distinct()
-    star = star.join(sizes.toDF("a", "x"), "a").join(sizes.toDF("b", "y"), "b").where(fits("x", "y")).select("a", "b")
-    inside = member.where("cid <> gid").select(F.col("gid").alias("a"), F.col("cid").alias("b"))
-    tried = stored(star.union(inside).distinct(), "tried")
-    links = verified(docs, member, tried, words, percent)
+    heads = member.where("cid = gid").select(F.col("gid").alias("doc_id"), "s1")
+    prefixes = own.select("doc_id", "s1", "rare", "often").join(heads, ["doc_id", "s1"], "left_semi")
+    rare = prefixes.select(F.col("doc_id").alias("gid"), F.explode("rare").alias("token"))
+    often = prefixes.where(F.size("often") > 0).select(F.col("doc_id").alias("gid"), F.explode("often").alias("token"))
+    # Rare shingles have few rows each and are shuffled once. A frequent one may fill many rows: it is
+    # combined before the shuffle, and the join can split it.
+    bucket = Window.partitionBy("token")
+    shared = rare.withColumn("low", F.min("gid").over(bucket)).withColumn("high", F.max("gid").over(bucket))
+    lows = often.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high")).where("low <> high")
+    buckets = shared.where("low <> high").select("token", "gid", "low").union(
+        often.join(lows, "token").select("token", "gid", "low")
+    )
+    buckets = stored(buckets, "buckets")
+
+    sizes = member.where("cid = gid").select("cid", "s1", "n")
+    star = buckets.where("gid <> low").groupBy(F.col("low").alias("a"), F.col("gid").alias("b"))
+    star = star.agg(F.count(F.lit(1)).alias("common"))
+    star = star.join(sizes.toDF("a", "sa", "x"), "a").join(sizes.toDF("b", "sb", "y"), "b").where(may_link(percent))
+    inside = member.where("cid <> gid").select("gid", F.col("cid").alias("b"), F.col("s1").alias("sb"))
+    inside = inside.join(sizes.select(F.col("cid").alias("gid"), F.col("s1").alias("sa")), "gid")
+    tried = star.select("a", "sa", "b", "sb").union(inside.select(F.col("gid").alias("a"), "sa", "b", "sb"))
+    tried = stored(tried, "tried")
+    links = verified(docs, tried, words, percent)
 
     comps = components(links)
     placed = member.join(comps.withColumnRenamed("id", "cid"), "cid", "left")
     placed = stored(placed.withColumn("component", F.coalesce("component", "cid")), "placed")
 
-    of_token = buckets.select("token", "gid").join(placed.select("gid", "cid", "n", "component"), "gid")
-    of_group = placed.select(F.xxhash64("gid", F.lit("group")).alias("token"), "gid", "cid", "n", "component")
-    rows = of_token.select("token", "cid", "n", "component").union(
-        of_group.select("token", "cid", "n", "component")
-    )
-    counts = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"))
-    largest = counts.groupBy("token").agg(
+    columns = ["token", "cid", "s1", "n", "component", "grouped"]
+    of_token = buckets.select("token", "gid").join(placed, "gid").withColumn("grouped", F.lit(False))
+    of_group = placed.withColumn("token", F.xxhash64("gid", F.lit("group"))).withColumn("grouped", F.lit(True))
+    rows = of_token.select(columns).union(of_group.select(columns))
+    counts = rows.groupBy("token", "grouped", "component").agg(F.count(F.lit(1)).alias("c"))
+    largest = counts.groupBy("token", "grouped").agg(
         F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("several")
     )
-    open_rows = rows.join(
-        largest.where("several > 1").select("token", F.col("top.component").alias("main")), "token"
-    )
-    open_rows = stored(open_rows, "open")
+    several = largest.where("several > 1").select("token", "grouped", F.col("top.component").alias("main"))
+    open_rows = stored(rows.join(several, ["token", "grouped"]), "open")
     out = open_rows.where("component <> main").select(
-        "token", F.col("cid").alias("p"), F.col("n").alias("x"), F.col("component").alias("cp")
+        "token", "grouped", F.col("cid").alias("p"), F.col("s1").alias("sp"), F.col("n").alias("x"),
+        F.col("component").alias("cp"),
+    )
+    # Of two classes outside the largest component the pair is met from the smaller one only.
+    rest = out.join(open_rows.withColumnRenamed("n", "y"), ["token", "grouped"]).where(
+        (F.col("cp") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("p") < F.col("cid")))
+        & (100 * F.least("x", "y") >= percent * F.greatest("x", "y"))
     )
-    rest = out.join(open_rows, "token").where((F.col("cp") != F.col("component")) & fits("x", "n"))
-    rest = rest.select(F.least("p", "cid").alias("a"), F.greatest("p", "cid").alias("b")).distinct()
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(rest.join(done, ["a", "b"], "left_anti"), "rest")
+    rest = rest.groupBy(
+        F.col("p").alias("a"), F.col("sp").alias("sa"), F.col("cid").alias("b"), F.col("s1").alias("sb"), "x", "y"
+    ).agg(F.count(F.lit(1)).alias("common"), F.max("grouped").alias("grouped"))
+    rest = rest.where(may_link(percent) | F.col("grouped")).select("a", "sa", "b", "sb")
+    done = tried.select("a", "sa", "b", "sb").union(tried.select("b", "sb", "a", "sa"))
+    rest = stored(rest.join(done, ["a", "sa", "b", "sb"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = verified(docs, member, rest, words, percent)
-        links = links.union(more)
-        comps = components(links)
+        more = verified(docs, rest, words, percent)
+        if not more.isEmpty():
+            comps = components(links.union(more))
     final = member.join(comps.withColumnRenamed("id", "cid"), "cid", "left").select(
         "s1", "s2", "n", F.coalesce("component", "cid").alias("component")
     )
