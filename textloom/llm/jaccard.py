@@ -175,6 +175,17 @@ def may_link(percent: int) -> F.Column:
     return enough & (100 * F.least("x", "y") >= percent * F.greatest("x", "y"))
 
 
+def may_start(percent: int) -> F.Column:
+    """Whether similar sets of ``x`` and ``y`` shingles can have their first common one at ``i`` and ``j``.
+
+    What stands before it is in one set only, which bounds the intersection. Some shingle of each pair
+    that links, its first common one, passes.
+    """
+    most = F.least(F.col("x") - F.col("i"), F.col("y") - F.col("j"))
+    enough = most * (100 + percent) >= percent * (F.col("x") + F.col("y"))
+    return enough & (100 * F.least("x", "y") >= percent * F.greatest("x", "y"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document.
 
@@ -209,15 +220,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     heads = member.where("cid = gid").select(F.col("gid").alias("doc_id"), "s1")
     prefixes = own.select("doc_id", "s1", "rare", "often").join(heads, ["doc_id", "s1"], "left_semi")
-    rare = prefixes.select(F.col("doc_id").alias("gid"), F.explode("rare").alias("token"))
-    often = prefixes.where(F.size("often") > 0).select(F.col("doc_id").alias("gid"), F.explode("often").alias("token"))
+    rare = prefixes.select(F.col("doc_id").alias("gid"), F.posexplode("rare").alias("at", "token"))
+    often = prefixes.where(F.size("often") > 0).select(
+        F.col("doc_id").alias("gid"), F.size("rare").alias("before"), F.posexplode("often").alias("at", "token")
+    )
+    often = often.withColumn("at", F.col("at") + F.col("before")).drop("before")
     # Rare shingles have few rows each and are shuffled once. A frequent one may fill many rows: it is
     # combined before the shuffle, and the join can split it.
     bucket = Window.partitionBy("token")
     shared = rare.withColumn("low", F.min("gid").over(bucket)).withColumn("high", F.max("gid").over(bucket))
     lows = often.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high")).where("low <> high")
-    buckets = shared.where("low <> high").select("token", "gid", "low").union(
-        often.join(lows, "token").select("token", "gid", "low")
+    buckets = shared.where("low <> high").select("token", "gid", "at", "low").union(
+        often.join(lows, "token").select("token", "gid", "at", "low")
     )
     buckets = stored(buckets, "buckets")
 
@@ -235,9 +249,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     placed = member.join(comps.withColumnRenamed("id", "cid"), "cid", "left")
     placed = stored(placed.withColumn("component", F.coalesce("component", "cid")), "placed")
 
-    columns = ["token", "cid", "s1", "n", "component", "grouped"]
-    of_token = buckets.select("token", "gid").join(placed, "gid").withColumn("grouped", F.lit(False))
+    columns = ["token", "at", "cid", "s1", "n", "component", "grouped"]
+    of_token = buckets.select("token", "at", "gid").join(placed, "gid").withColumn("grouped", F.lit(False))
     of_group = placed.withColumn("token", F.xxhash64("gid", F.lit("group"))).withColumn("grouped", F.lit(True))
+    of_group = of_group.withColumn("at", F.lit(0))
     rows = of_token.select(columns).union(of_group.select(columns))
     counts = rows.groupBy("token", "grouped", "component").agg(F.count(F.lit(1)).alias("c"))
     largest = counts.groupBy("token", "grouped").agg(
@@ -246,18 +261,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     several = largest.where("several > 1").select("token", "grouped", F.col("top.component").alias("main"))
     open_rows = stored(rows.join(several, ["token", "grouped"]), "open")
     out = open_rows.where("component <> main").select(
-        "token", "grouped", F.col("cid").alias("p"), F.col("s1").alias("sp"), F.col("n").alias("x"),
-        F.col("component").alias("cp"),
+        "token", "grouped", F.col("at").alias("i"), F.col("cid").alias("a"), F.col("s1").alias("sa"),
+        F.col("n").alias("x"), F.col("component").alias("ca"),
     )
-    # Of two classes outside the largest component the pair is met from the smaller one only.
-    rest = out.join(open_rows.withColumnRenamed("n", "y"), ["token", "grouped"]).where(
-        (F.col("cp") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("p") < F.col("cid")))
-        & (100 * F.least("x", "y") >= percent * F.greatest("x", "y"))
+    every = open_rows.select(
+        "token", "grouped", F.col("at").alias("j"), F.col("cid").alias("b"), F.col("s1").alias("sb"),
+        F.col("n").alias("y"), F.col("component").alias("cb"), "main",
     )
-    rest = rest.groupBy(
-        F.col("p").alias("a"), F.col("sp").alias("sa"), F.col("cid").alias("b"), F.col("s1").alias("sb"), "x", "y"
-    ).agg(F.count(F.lit(1)).alias("common"), F.max("grouped").alias("grouped"))
-    rest = rest.where(may_link(percent) | F.col("grouped")).select("a", "sa", "b", "sb")
+    # Of two classes outside the largest component the pair is met from the smaller one only.
+    once = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
+    rest = out.join(every, ["token", "grouped"]).where(once & may_start(percent))
+    rest = rest.select("a", "sa", "b", "sb").distinct()
     done = tried.select("a", "sa", "b", "sb").union(tried.select("b", "sb", "a", "sa"))
     rest = stored(rest.join(done, ["a", "sa", "b", "sb"], "left_anti"), "rest")
     if not rest.isEmpty():
