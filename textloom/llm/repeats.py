@@ -31,8 +31,9 @@ SECOND, THIRD = 12, 24
 # Words that a match is extended by to either side of its known part.
 REACH = 64
 
-NEIGHBOURS = "edge int, part int, head long, a long, a_pos int, b long, b_pos int"
-CONTEXT = "a long, b long, diagonal int, a_first int, a_last int, side int, before binary, after binary, chars binary"
+NEIGHBOURS = "edge int, part int, head long, second long, third long, a long, a_pos int, b long, b_pos int, known int"
+KEYS = ["doc", "pos", "other", "other_pos", "known"]
+CONTEXT = "doc long, pos int, other long, other_pos int, known int, side int, before binary, after binary, chars binary"
 
 
 def minimisers(heads: np.ndarray, spread: int = SPREAD) -> np.ndarray:
@@ -90,7 +91,10 @@ def sparse_suffixes(docs: DataFrame) -> DataFrame:
 
 
 def neighbours(suffixes: DataFrame) -> DataFrame:
-    """``a, a_pos, b, b_pos``: suffixes next to each other that share their head and lie in two documents.
+    """``doc, pos, other, other_pos, known``: suffixes next to each other that share their head, in two documents.
+
+    ``known`` counts the first words they are known to share, by the blocks that agree. Every pair is given
+    from both sides.
 
     The suffixes are sorted over all tasks by ranges, so one head that fills many documents spreads over
     tasks. A row's neighbours are the nearest rows of other documents before and after it. Each task
@@ -104,7 +108,7 @@ def neighbours(suffixes: DataFrame) -> DataFrame:
         if not parts:
             return
         rows = pa.Table.from_batches(parts)
-        head, doc, pos = (rows[c].to_numpy() for c in ("head", "doc_id", "pos"))
+        head, second, third, doc, pos = (rows[c].to_numpy() for c in order)
         n, part = len(head), TaskContext.get().partitionId()
         same_head = head[1:] == head[:-1]
         begins = np.concatenate([[True], ~same_head | (doc[1:] != doc[:-1])])
@@ -120,53 +124,63 @@ def neighbours(suffixes: DataFrame) -> DataFrame:
         for kind, i, j in ((-1, x, y), (0, edge[:1], edge[:1]), (1, edge[1:], edge[1:])):
             for k in range(0, len(i), 1 << 16):
                 a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
-                columns = [np.full(len(a), kind, np.int32), np.full(len(a), part, np.int32), head[a], doc[a], pos[a], doc[b], pos[b]]
+                level = (second[a] == second[b]) & (second[a] != 0)
+                known = HEAD + np.where(level, SECOND + np.where((third[a] == third[b]) & (third[a] != 0), THIRD, 0), 0)
+                columns = [np.full(len(a), kind, np.int32), np.full(len(a), part, np.int32), head[a], second[a], third[a]]
+                columns += [doc[a], pos[a], doc[b], pos[b], known.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f.split()[0] for f in NEIGHBOURS.split(", ")])
 
     found = stored(ordered.mapInArrow(compare, NEIGHBOURS), "neighbours")
     # Two rows per task.
     border = Window.orderBy("part", "edge")
-    edges = found.where("edge >= 0").select(
-        "edge", "head", "a", "a_pos", *[F.lag(c).over(border).alias(f"last_{c}") for c in ("edge", "head", "a", "a_pos")]
+    names = ["edge", "head", "second", "third", "a", "a_pos"]
+    edges = found.where("edge >= 0").select(*names, *[F.lag(c).over(border).alias(f"last_{c}") for c in names])
+    edges = edges.where("edge = 0 and last_edge = 1 and head = last_head and a <> last_a")
+    same = (F.col("second") == F.col("last_second")) & (F.col("second") != 0)
+    longer = (F.col("third") == F.col("last_third")) & (F.col("third") != 0)
+    known = (
+        F.when(same & longer, HEAD + SECOND + THIRD).when(same, HEAD + SECOND).otherwise(HEAD)
+    ).cast("int")
+    across = edges.select("a", "a_pos", F.col("last_a").alias("b"), F.col("last_a_pos").alias("b_pos"), known.alias("known"))
+    pairs = found.where("edge < 0").select("a", "a_pos", "b", "b_pos", "known")
+    return pairs.union(across).union(across.select("b", "b_pos", "a", "a_pos", "known")).toDF(*KEYS)
+
+
+def sure_ranges(seeds: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """What is known of every document, and what is left to look at.
+
+    Returns ``doc, island, first, last, other``: ranges covered by seeds that already share ``min_words`` words; and the
+    seeds to be extended: those at the ends of such a range, and shorter ones that no range covers.
+    """
+    own = Window.partitionBy("doc").orderBy("pos", F.desc("known"), "other", "other_pos")
+    sure = F.col("known") >= min_words
+    end = F.when(sure, F.col("pos") + F.col("known"))
+    before = F.max(end).over(own.rowsBetween(Window.unboundedPreceding, -1))
+    reach = F.max(end).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    opens = (sure & (before.isNull() | (F.col("pos") > before))).cast("int")
+    marked = seeds.withColumn("reach", reach).withColumn("opens", opens)
+    marked = marked.withColumn("island", F.sum("opens").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    marked = stored(marked.withColumn("sure", sure), "seeds")
+    islands = marked.where("sure").groupBy("doc", "island").agg(
+        F.min("pos").alias("first"), F.max(F.col("pos") + F.col("known")).alias("last"), F.min("other").alias("low")
     )
-    across = edges.where("edge = 0 and last_edge = 1 and head = last_head and a <> last_a").select(
-        "a", "a_pos", F.col("last_a").alias("b"), F.col("last_a_pos").alias("b_pos")
+    islands = stored(islands, "ranges")
+    ends = marked.where("sure").join(islands.drop("low"), ["doc", "island"]).where(
+        (F.col("pos") == F.col("first")) | (F.col("pos") + F.col("known") == F.col("last"))
     )
-    return found.where("edge < 0").select("a", "a_pos", "b", "b_pos").union(across)
+    loose = marked.where(~F.col("sure") & (F.col("reach").isNull() | (F.col("reach") < F.col("pos") + F.col("known"))))
+    return islands, ends.select(KEYS).union(loose.select(KEYS)).distinct()
 
 
-def seed_runs(pairs: DataFrame) -> DataFrame:
-    """``a, b, diagonal, a_first, a_last``: known common words of two documents, a < b.
+def contexts(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """For both documents of each seed: hashes of REACH words before and after its known words.
 
-    Heads that overlap or touch on one diagonal are one run; word ``i`` of ``a`` is word ``i - diagonal`` of ``b``.
-    """
-    swap = F.col("a") > F.col("b")
-    seeds = pairs.select(
-        F.least("a", "b").alias("a"),
-        F.greatest("a", "b").alias("b"),
-        F.when(swap, F.col("b_pos")).otherwise(F.col("a_pos")).alias("at"),
-        F.when(swap, F.col("b_pos") - F.col("a_pos")).otherwise(F.col("a_pos") - F.col("b_pos")).alias("diagonal"),
-    ).distinct()
-    line = Window.partitionBy("a", "b", "diagonal").orderBy("at")
-    gap = F.coalesce((F.col("at") - F.lag("at").over(line) > HEAD).cast("int"), F.lit(0))
-    runs = seeds.withColumn("gap", gap).withColumn("run", F.sum("gap").over(line))
-    return runs.groupBy("a", "b", "diagonal", "run").agg(
-        F.min("at").alias("a_first"), (F.max("at") + HEAD).alias("a_last")
-    ).drop("run")
-
-
-def contexts(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """For both sides of each run: hashes of REACH words before and after it, and their characters.
-
-    Only texts that hold a run are moved; requests of one document are gathered on its row, and their
-    number is bounded by its own length.
+    The document asked about also gives the characters of these words. Only texts that hold a seed are moved;
+    requests of one document are gathered on its row, and their number is bounded by its own length.
     """
     sides = [
-        runs.select(
-            F.col(doc).alias("doc_id"),
-            F.struct("a", "b", "diagonal", "a_first", "a_last", F.lit(side).alias("side")).alias("request"),
-        )
-        for side, doc in enumerate(("a", "b"))
+        seeds.select(F.col(doc).alias("doc_id"), F.struct(*KEYS, F.lit(side).alias("side")).alias("request"))
+        for side, doc in enumerate(("doc", "other"))
     ]
     requests = sides[0].union(sides[1]).groupBy("doc_id").agg(F.collect_list("request").alias("requests"))
     requests = stored(requests, "requests")
@@ -182,24 +196,29 @@ def contexts(docs: DataFrame, runs: DataFrame) -> DataFrame:
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in CONTEXT.split(", ")]
-        types = [pa.int64(), pa.int64(), *[pa.int32()] * 4, *[pa.binary()] * 3]
+        types = [pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 3, *[pa.binary()] * 3]
         for batch in batches:
             data, offsets = arrow_text(batch.column(0))
             out = []
-            for i, asked in enumerate(batch.column(1).to_pylist()):
+            for i, asked in enumerate(batch.column(1)):
                 hashes, first, last, _ = hash_words(data, offsets[i : i + 2], BLANK_WORDS)
                 raw = data[offsets[i] : offsets[i + 1]]
                 # Characters before each byte.
                 chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-                for r in asked:
-                    shift = r["diagonal"] if r["side"] else 0
-                    x, y = r["a_first"] - shift, r["a_last"] - shift
+                for r in asked.as_py():
+                    x = r["other_pos"] if r["side"] else r["pos"]
+                    y = x + r["known"]
                     if y > len(hashes):  # another text of the same doc_id
                         continue
                     lo, hi = max(0, x - REACH), min(len(hashes), y + REACH)
-                    spots = np.concatenate([chars[first[lo : x + 1]], chars[last[y - 1 : hi]]]).astype(np.int64)
-                    key = (r["a"], r["b"], r["diagonal"], r["a_first"], r["a_last"], r["side"])
-                    out.append((*key, hashes[lo:x].tobytes(), hashes[y:hi].tobytes(), spots.tobytes()))
+                    spots = b""
+                    if not r["side"]:
+                        spots = np.concatenate([chars[first[lo : x + 1]], chars[last[y - 1 : hi]]]).astype(np.int32).tobytes()
+                    key = (*(r[k] for k in KEYS), r["side"])
+                    out.append((*key, hashes[lo:x].tobytes(), hashes[y:hi].tobytes(), spots))
+                if len(out) >= 4096:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                    out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
@@ -213,40 +232,39 @@ def common_prefix(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, with_doc, first_word, n_words, first_char, last_char`` of each verified match, both sides."""
-    if not HEAD + SPREAD - 1 <= min_words <= REACH:
-        raise ValueError(f"min_words has to lie between {HEAD + SPREAD - 1} and {REACH}")
-    runs = stored(seed_runs(neighbours(sparse_suffixes(docs))), "runs")
-    known = stored(contexts(docs, runs), "contexts")
-    keys = ["a", "b", "diagonal", "a_first", "a_last"]
-    left = known.where("side = 0").select(*keys, *[F.col(c).alias(f"{c}_a") for c in ("before", "after", "chars")])
-    right = known.where("side = 1").select(*keys, *[F.col(c).alias(f"{c}_b") for c in ("before", "after", "chars")])
+    """``doc_id, with_doc, first_word, last_word, first_char, last_char`` of matches and of ranges known to match.
+
+    Characters are given where a range ends; inner ends have none.
+    """
+    if not HEAD + SPREAD - 1 <= min_words <= min(REACH, HEAD + SECOND + THIRD):
+        raise ValueError(f"min_words has to lie between {HEAD + SPREAD - 1} and {min(REACH, HEAD + SECOND + THIRD)}")
+    ranges, seeds = sure_ranges(neighbours(sparse_suffixes(docs)).distinct(), min_words)
+    asked = contexts(docs, stored(seeds, "asked"))
+    left = asked.where("side = 0").select(*KEYS, "before", "after", "chars")
+    right = asked.where("side = 1").select(*KEYS, F.col("before").alias("other_before"), F.col("after").alias("other_after"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = lambda x: np.frombuffer(x, np.uint64)
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                back = common_prefix(words(r["before_a"])[::-1], words(r["before_b"])[::-1])
-                on = common_prefix(words(r["after_a"]), words(r["after_b"]))
-                n = r["a_last"] - r["a_first"] + back + on
-                if n < min_words:
+                back = common_prefix(words(r["before"])[::-1], words(r["other_before"])[::-1])
+                on = common_prefix(words(r["after"]), words(r["other_after"]))
+                if r["known"] + back + on < min_words:
                     continue
-                for side, doc, other in ((0, "a", "b"), (1, "b", "a")):
-                    tail = "_b" if side else "_a"
-                    spots = np.frombuffer(r["chars" + tail], np.int64)
-                    head = len(r["before" + tail]) // 8
-                    first_word = r["a_first"] - back - (r["diagonal"] if side else 0)
-                    out.append((r[doc], r[other], first_word, n, int(spots[head - back]), int(spots[head + 1 + on])))
+                spots, head = np.frombuffer(r["chars"], np.int32), len(r["before"]) // 8
+                first, last = r["pos"] - back, r["pos"] + r["known"] + on
+                out.append((r["doc"], r["other"], first, last, int(spots[head - back]), int(spots[head + 1 + on])))
             if out:
-                types = [pa.int64(), pa.int64(), *[pa.int64()] * 4]
-                columns = [pa.array(c, t) for c, t in zip(zip(*out), types)]
-                yield pa.RecordBatch.from_arrays(
-                    columns, names=["doc_id", "with_doc", "first_word", "n_words", "first_char", "last_char"]
-                )
-
-    schema = "doc_id long, with_doc long, first_word long, n_words long, first_char long, last_char long"
-    return left.join(right, keys).mapInArrow(extend, schema)
+                names = ["doc_id", "with_doc", "first_word", "last_word", "first_char", "last_char"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
+
+    schema = "doc_id long, with_doc long, first_word long, last_word long, first_char long, last_char long"
+    matches = left.join(right, KEYS).mapInArrow(extend, schema)
+    nothing = F.lit(None).cast("long")
+    return matches.union(
+        ranges.select("doc", "low", F.col("first").cast("long"), F.col("last").cast("long"), nothing, nothing)
+    )
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -259,13 +277,15 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     Method: of every text only suffixes at minimisers of HEAD-word hashes are kept, about one in thirteen
     words. They are sorted by the hashes of their first words; neighbours in that order that share the
-    head are matched, matches on one diagonal joined, and extended word by word to both sides.
+    head are matched. Where the blocks of their heads already show ``min_words`` common words, ranges of such
+    matches are joined and extended word by word at their ends; all other matches are extended one by one.
+    Words are compared by 64-bit hash. A match is extended by up to REACH words beyond its known words.
 
     Edge cases: null, empty and shorter texts have no passage; a passage repeated only inside one
     document is not reported; rows without ``doc_id`` are left out; rows that repeat a ``doc_id`` are the same
     document; equal documents are one passage each; an empty table gives no rows; other columns are ignored.
     """
-    spans = repeated_spans(docs, min_words).withColumn("last_word", F.col("first_word") + F.col("n_words"))
+    spans = repeated_spans(docs, min_words)
     own = Window.partitionBy("doc_id").orderBy("first_word", "last_word")
     before = F.max("last_word").over(own.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.coalesce((F.col("first_word") > before).cast("int"), F.lit(0))
