@@ -66,7 +66,7 @@ def write_token_files(
     fs, inner = _folder(path)
     fs.create_dir(inner)
 
-    no_id = np.iinfo(np.int64).min
+    no_id = int(np.iinfo(np.int64).min)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(no_id)).alias("doc_id"), "text")
     order = [F.col("doc_id"), F.xxhash64("text"), F.col("text")]
     ranges = rows.repartitionByRange(parts, *order[:2]) if parts else rows.repartitionByRange(*order[:2])
@@ -132,7 +132,8 @@ def write_token_files(
     }
     with fs.open_output_stream(f"{inner}/{MANIFEST}") as out:
         out.write(json.dumps(manifest).encode())
-    return based.select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens")
+    own_id = F.when(F.col("doc_id") != no_id, F.col("doc_id")).alias("doc_id")
+    return based.select(own_id, (F.col("base") + F.col("local_start")).alias("start"), "n_tokens")
 
 
 def read_manifest(path: str) -> dict:
@@ -154,7 +155,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     if not manifest["parts"]:
         return spark.createDataFrame([], schema)
     parts = spark.createDataFrame([(p["name"], p["base"]) for p in manifest["parts"]], "name string, base long")
-    no_id = np.iinfo(np.int64).min
+    no_id = int(np.iinfo(np.int64).min)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
