@@ -9,8 +9,8 @@ from textloom.session import stored
 
 # Shorter lines are only equal to equal lines.
 MIN_CHARS = 16
-# A variant is hashed as block and surroundings, so that it costs its block and not its line.
-BLOCK = 64
+# A line is cut into segments of this length, or more for long lines: at most so many segments.
+SEGMENT, SEGMENTS = 16, 64
 # Half lines are cut at multiples of this.
 GRID = 8
 
@@ -48,49 +48,60 @@ def half_keys(line: Column, min_chars: int = MIN_CHARS) -> Column:
     )
 
 
-def variants(line: Column) -> Column:
-    """Hash keys of a line and of all its variants with one character deleted: ``key, at``.
+def segments(line: Column, longer: bool) -> Column:
+    """``grown, around, hole``: the line without each of its segments, hashed, and the segment.
 
-    The line is cut into blocks; a variant is named by what stands before its block, the block
-    without the character, and what stands behind it. ``at`` is the deleted position, and -1 for the line
-    itself as it looks beside a line that is one character longer.
+    Two lines one edit apart agree outside one segment. Segments are those of the shorter line of a pair
+    of ``n`` characters, counted from the start in front of the segment and from the end behind it; a
+    line is taken as the shorter one, and with ``longer`` as the one that has a character more.
     """
-    n = F.char_length(line)
-    # The last block may be empty: a longer line may have its additional character there.
-    blocks = F.sequence(F.lit(0), F.floor(n / F.lit(BLOCK)).cast("int"))
-
-    def of_block(j: Column) -> Column:
-        start = j * BLOCK
-        block = F.substring(line, start + 1, F.lit(BLOCK))
-        head = F.xxhash64(F.substring(line, F.lit(1), start))
-        tail = F.xxhash64(F.substring(line, start + BLOCK + 1, n))
-        short = F.substring(line, start + 1, F.lit(BLOCK - 1))
-        itself = F.struct(
-            F.xxhash64(j, head, short, F.xxhash64(F.substring(line, start + BLOCK, n))).alias("key"),
-            F.lit(-1).alias("at"),
-        )
-        deleted = F.transform(
-            F.filter(F.sequence(F.lit(0), F.char_length(block)), lambda i: i > 0),
-            lambda i: F.struct(
-                F.xxhash64(
-                    j, head, F.concat(F.substring(block, F.lit(1), i - 1), F.substring(block, i + 1, F.lit(BLOCK))), tail
-                ).alias("key"),
-                (start + i - 1).alias("at"),
-            ),
+    size = F.char_length(line)
+    n = size - 1 if longer else size
+    step = F.greatest(F.lit(SEGMENT), F.floor(n / F.lit(SEGMENTS)).cast("int"))
+
+    def segment(j: Column) -> Column:
+        start = j * step
+        tail = F.greatest(n - start - step, F.lit(0))
+        before, after = F.substring(line, F.lit(1), start), F.substring(line, size - tail + 1, tail)
+        return F.struct(
+            F.lit(longer).alias("grown"),
+            F.xxhash64(n, j, F.xxhash64(before), F.xxhash64(after)).alias("around"),
+            F.substring(line, start + 1, size - tail - start).alias("hole"),
         )
-        return F.concat(F.array(itself), deleted)
 
-    return F.flatten(F.transform(blocks, of_block))
+    return F.transform(F.sequence(F.lit(0), F.floor(n / step).cast("int")), segment)
+
+
+def variants(around: Column, hole: Column, grown: Column) -> Column:
+    """``key, kind`` of a segment in its surroundings and of all its variants with one character deleted.
+
+    Lines of equal length meet without the same character (``same``); a line meets a longer one as it is
+    (``line``) where that has lost a character (``cut``).
+    """
+    size = F.char_length(hole)
+    places = F.filter(F.sequence(F.lit(0), size), lambda i: i > 0)
+
+    def without(i: Column) -> Column:
+        return F.concat(F.substring(hole, F.lit(1), i - 1), F.substring(hole, i + 1, size))
+
+    def entry(kind: str, *parts: Column) -> Column:
+        return F.struct(F.xxhash64(around, *parts).alias("key"), F.lit(kind).alias("kind"))
+
+    cuts = F.transform(places, lambda i: entry("cut", without(i)))
+    same = F.transform(places, lambda i: entry("same", without(i), i))
+    return F.when(grown, cuts).otherwise(F.concat(F.array(entry("line", hole)), same))
 
 
 def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``k1, k2``: lines that have an earlier line one edit away, and that line's first place.
 
     A first pass keeps hashes of half lines; only lines that share a half with another line are read
-    again and get variants. Equal variants meet by key: variants that lack the same position are one
-    substitution apart, a variant equal to a whole line is one insertion apart. Each key passes on
-    its earliest member, so a key with many lines costs its lines, not their pairs, and still gives
-    each of them its earliest neighbour. That neighbour's text is verified by edit distance.
+    again. Of these, the segments are kept outside which another line is the same, and all variants
+    of such a segment within one deletion are emitted as keys. Equal variants meet: variants that lack
+    the same position are one substitution apart, a variant equal to a line as it is, one insertion.
+    Each key passes on its earliest member, so a key with many lines costs its lines, not their
+    pairs, and still gives each of them its earliest neighbour. That neighbour's text is verified by
+    edit distance.
     """
     long_lines = document_lines(docs).where(F.char_length("line") >= min_chars)
     keyed = long_lines.select("doc_id", "line_no", *line_key(F.col("line")), half_keys(F.col("line"), min_chars).alias("halves"))
@@ -112,16 +123,28 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     texts = texts.select("doc_id", "x.line_no", F.btrim("x.line", F.lit(" \t\r")).alias("line"))
     texts = stored(texts.select("doc_id", "line_no", "line", *line_key(F.col("line"))), "lines-texts")
 
-    own = texts.select(
-        F.struct("doc_id", "line_no").alias("place"), "k1", "k2", F.explode(variants(F.col("line"))).alias("v")
-    ).select("place", "k1", "k2", "v.key", "v.at")
-    by_place = own.where("at >= 0").groupBy("key", "at").agg(F.min("place").alias("first"))
-    by_key = own.groupBy("key").agg(
-        F.min(F.when(F.col("at") >= 0, F.col("place"))).alias("first_variant"),
-        F.min(F.when(F.col("at") < 0, F.col("place"))).alias("first_line"),
+    line = F.col("line")
+    longer = F.when(F.char_length(line) > min_chars, segments(line, True)).otherwise(F.slice(segments(line, False), 1, 0))
+    around = texts.select(
+        F.struct("doc_id", "line_no").alias("place"), "k1", "k2", F.explode(F.concat(segments(line, False), longer)).alias("s")
+    )
+    around = stored(around.select("place", "k1", "k2", "s.grown", "s.around", "s.hole"), "lines-segments")
+    met = around.groupBy("around").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high")
+    live = around.join(met.select("around"), "around", "left_semi")
+    emitted = variants(F.col("around"), F.col("hole"), F.col("grown"))
+    own = live.select("place", "k1", "k2", F.explode(emitted).alias("v")).select("place", "k1", "k2", "v.key", "v.kind")
+    own = stored(own, "lines-variants")
+
+    def first(kind: str) -> Column:
+        return F.min(F.when(F.col("kind") == kind, F.col("place"))).alias(f"first_{kind}")
+
+    firsts = own.groupBy("key").agg(first("same"), first("line"), first("cut"))
+    met = own.join(firsts, "key")
+    other = (
+        F.when(F.col("kind") == "same", F.col("first_same"))
+        .when(F.col("kind") == "line", F.col("first_cut"))
+        .otherwise(F.col("first_line"))
     )
-    met = own.join(by_key, "key").join(by_place, ["key", "at"], "left")
-    other = F.when(F.col("at") < 0, F.col("first_variant")).otherwise(F.least("first", "first_line"))
     earlier = met.groupBy("k1", "k2", "place").agg(F.min(F.when(other < F.col("place"), other)).alias("other"))
     earlier = earlier.where(F.col("other").isNotNull())
     left = texts.select("k1", "k2", "line")
