@@ -11,6 +11,8 @@ from textloom.session import stored
 MIN_CHARS = 16
 # A line is cut into segments of this length, or more for long lines: at most so many segments.
 SEGMENT, SEGMENTS = 16, 64
+# Size of the table that spares documents without lines to look at.
+SLOT_BITS = 18
 # Half lines are cut at multiples of this.
 GRID = 8
 
@@ -92,6 +94,19 @@ def variants(around: Column, hole: Column, grown: Column) -> Column:
     return F.when(grown, cuts).otherwise(F.concat(F.array(entry("line", hole)), same))
 
 
+def maybe_among(ids: DataFrame, column: str) -> Column:
+    """Whether a row's id may be among ``ids``: false only where it is not.
+
+    A table of 2^SLOT_BITS bytes marks the hashes of all ids. Its size is fixed; with very many ids it spares
+    fewer rows, and the join behind it decides.
+    """
+    slot = F.xxhash64(column).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int")
+    marks = bytearray(1 << SLOT_BITS)
+    for (place,) in ids.select(slot).distinct().collect():
+        marks[place] = 1
+    return F.substring(F.lit(bytes(marks)), slot + 1, F.lit(1)) == F.lit(b"\x01")
+
+
 def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``k1, k2``: lines that have an earlier line one edit away, and that line's first place.
 
@@ -106,15 +121,16 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     long_lines = document_lines(docs).where(F.char_length("line") >= min_chars)
     keyed = long_lines.select("doc_id", "line_no", *line_key(F.col("line")), half_keys(F.col("line"), min_chars).alias("halves"))
     # One row per distinct line; its halves depend on the line alone.
-    half_rows = keyed.select("k1", F.explode("halves").alias("half"))
-    shared = half_rows.groupBy("half").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high")
     firsts = keyed.groupBy("k1", "k2", "halves").agg(F.min(F.struct("doc_id", "line_no")).alias("place"))
+    firsts = stored(firsts, "lines-distinct")
     firsts = firsts.select("k1", "k2", "place.doc_id", "place.line_no", F.explode("halves").alias("half"))
+    shared = firsts.groupBy("half").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high")
     chosen = firsts.join(shared.select("half"), "half", "left_semi").select("k1", "k2", "doc_id", "line_no").distinct()
     chosen = stored(chosen, "lines-chosen")
 
     of_doc = chosen.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("wanted"))
-    held = docs.select("doc_id", "text").join(of_doc, F.col("doc_id") == F.col("_doc"))
+    held = docs.select("doc_id", "text").where(maybe_among(chosen, "doc_id"))
+    held = held.join(of_doc, F.col("doc_id") == F.col("_doc"))
     held = held.select("doc_id", F.split("text", "\n").alias("pieces"), "wanted")
     wanted = F.transform(
         "wanted", lambda i: F.struct(i.alias("line_no"), F.element_at("pieces", i + 1).alias("line"))
