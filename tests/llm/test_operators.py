@@ -426,21 +426,21 @@ def test_toxicity_learns_words_and_stems(spark, docs, empty):
             words[draw.randrange(len(words))] = draw.choice(["vilest", "zzork" + "".join(draw.choices("abcdefgh", k=3))])
         rows.append((k, " ".join(words), draw.choice(["en", "de", None]), int(k % 4 == 0)))
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
-    model = toxicity.fit_toxicity(frame.where("doc_id < 400"), min_calibration_rows=10)
+    model = toxicity.fit_toxicity(frame, frame.where("doc_id < 400"), min_calibration_rows=10)
     got = toxicity.score_toxicity(frame.where("doc_id >= 400"), model).join(frame.select("doc_id", "toxic"), "doc_id").collect()
     right = sum((r["score"] >= 0.3) == (r["toxic"] == 1) for r in got)
     assert right >= 0.9 * len(got) and set(model.thresholds) <= {"en", "de"}
     edge = toxicity.score_toxicity(docs, model).collect()
     assert len(edge) == len(TEXTS) and all(0 <= r["score"] <= 1 for r in edge)
     assert toxicity.score_toxicity(empty, model).count() == 0
-    one_class = toxicity.fit_toxicity(frame.where("toxic = 0"))
+    one_class = toxicity.fit_toxicity(frame, frame.where("toxic = 0"))
     assert not toxicity.score_toxicity(frame, one_class).where("score >= 0.3").count()
 
 
 def test_long_text_is_scored_in_chunks(monkeypatch):
     rng = np.random.default_rng(1)
-    model = toxicity.fit_network([rng.integers(0, 1 << 60, (5, 3)).astype(np.uint64) for _ in range(8)], np.array([0, 1] * 4, np.float32), 0.5)
-    words, bounds = rng.integers(0, 1 << 60, (500, 3)).astype(np.uint64), np.array([0, 3, 3, 480, 500])
+    model = toxicity.fit_network([rng.integers(0, 1 << 17, (5, 3)).astype(np.int32) for _ in range(8)], np.array([0, 1] * 4, np.float32), 0.5)
+    words, bounds = rng.integers(0, 1 << 17, (500, 3)).astype(np.int32), np.array([0, 3, 3, 480, 500])
     whole = model.score(words, bounds)
     monkeypatch.setattr(toxicity, "CHUNK", 7)
     assert np.allclose(whole, model.score(words, bounds), atol=1e-6)

@@ -143,7 +143,7 @@ def fit_languages(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int
     """Fit on a bounded sample of ``doc_id, text, lang`` rows, the same number for each language.
 
     Rows are chosen by a hash of their id, so the sample does not depend on their order; no more than
-    ``sample_rows`` rows of gram counts reach the driver, whatever the corpus holds.
+    ``sample_rows`` rows (and a tenth more) of features reach the driver, whatever the corpus holds.
     """
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
     rows = rows.withColumn("draw", F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 64 - DRAW_BITS))
@@ -157,17 +157,19 @@ def fit_languages(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [c.astype(np.uint32).tobytes() for c in gram_counts(*arrow_text(batch.column(0)))]
+            counts = gram_counts(*arrow_text(batch.column(0)))
+            # Half precision: the sample is sent to the driver.
+            rows = [as_features(c[None, :]).astype(np.float16).tobytes() for c in counts]
             columns = [batch.column(1), batch.column(2), pa.array(rows, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "draw", "counts"])
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "draw", "features"])
 
     drawn = rows.where(F.col("draw") <= limit).select("text", "lang", "draw")
-    drawn = drawn.mapInArrow(count, "lang string, draw long, counts binary")
-    found = drawn.orderBy("draw", "lang", "counts").limit(sample_rows + sample_rows // 10).toArrow()
-    counts = np.stack([np.frombuffer(c.as_buffer(), np.uint32) for c in found["counts"]])
+    drawn = drawn.mapInArrow(count, "lang string, draw long, features binary")
+    found = drawn.orderBy("draw", "lang", "features").limit(sample_rows + sample_rows // 10).toArrow()
+    features = np.stack([np.frombuffer(x.as_buffer(), np.float16) for x in found["features"]]).astype(np.float32)
     names = found["lang"].to_pylist()
     seen = sorted(set(names))
-    return fit_codes(as_features(counts), np.array([seen.index(x) for x in names]), seen, seed)
+    return fit_codes(features, np.array([seen.index(x) for x in names]), seen, seed)
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, min_margin: float = MIN_MARGIN) -> DataFrame:

@@ -35,8 +35,8 @@ def op1_toxicity(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     fold = language.fold_of(F.col("doc_id"), 4)
-    learned = documents.join(labels.where(~fold.isin(2, -1)), "doc_id")
-    scored = toxicity.score_toxicity(documents, toxicity.fit_toxicity(learned))
+    model = toxicity.fit_toxicity(documents, labels.where(~fold.isin(2, -1)))
+    scored = toxicity.score_toxicity(documents, model)
     return scored.select(
         "doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "flagged"
     )
