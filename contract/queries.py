@@ -665,7 +665,8 @@ def nb_log_theta(spark, sf_dir):
 def naive_bayes_fit(spark, sf_dir):
     """The fitted estimator's log probability of each term in each class, over an explicit vocabulary."""
     rows = training(spark, sf_dir).select("label", tx.tokenize_regex(F.col("status")).alias("words"))
-    vectorizer = CountVectorizer(inputCol="words", outputCol="features", minDF=MIN_DF)
+    # Larger than any vocabulary of these tables: the estimator always has a bound.
+    vectorizer = CountVectorizer(inputCol="words", outputCol="features", minDF=MIN_DF, vocabSize=(1 << 31) - 1)
     model = Pipeline(stages=[vectorizer, sentiment.naive_bayes()]).fit(rows)
     terms, theta = model.stages[0].vocabulary, model.stages[1].theta.toArray()
     # The model itself: one number per class and vocabulary term.

@@ -219,7 +219,7 @@ def test_lexicon_and_tagged_corpus(spark, tmp_path):
 
 
 def test_literal_documents(spark):
-    assert readers.literal_documents(spark).count() == 3
+    assert readers.literal_documents(spark, ["One.", "Two.", "Three."]).count() == 3
 
 
 def test_small_filters(spark):
@@ -266,3 +266,15 @@ def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
 
     assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 8
     assert spread(spark.range(100, numPartitions=6)).rdd.getNumPartitions() == 6
+
+
+def test_vocabulary_is_not_cut(spark):
+    counts = spark.range((1 << 18) + 500).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("term"), F.lit(1).alias("n"))
+    assert corpus.vocabulary_fit(counts, 1).count() == (1 << 18) + 500
+
+
+def test_large_lookup_beside_a_map_column(spark):
+    rows = spark.createDataFrame([("a", {"x": 1}), ("b", None)], "word string, m map<string,int>")
+    lookup = spark.createDataFrame([("a", "n")], "word string, tag string")
+    small, large = (joins.lookup_join(rows, lookup, "word", "left", max_bytes=size).collect() for size in (1 << 20, 0))
+    assert sorted(small, key=str) == sorted(large, key=str)

@@ -65,3 +65,11 @@ def test_hashing_keeps_every_word(spark):
     df = spark.createDataFrame([(["a", "b", "a"],), ([],)], "w array<string>")
     vectors = [r["features"] for r in se.hashing_tf(df, "w").collect()]
     assert [v.size for v in vectors] == [2000, 2000] and [v.values.sum() for v in vectors] == [3.0, 0.0]
+
+
+def test_labels_of_null_texts_name_no_class(spark):
+    rows = [(0.0, None), (4.0, "good fine"), (8.0, "bad sad"), (4.0, "good"), (8.0, "bad")]
+    training = spark.createDataFrame(rows, "label double, status string")
+    model = se.fit_sentiment(training, named=True)
+    named = {r["status"]: r["predicted_label"] for r in se.score(training, model).collect()}
+    assert named["good"] == "4.0" and named["bad"] == "8.0"

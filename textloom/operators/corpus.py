@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from textloom.operators.joins import lookup_join
 from textloom.session import stored
 
-# Fixed value: most terms a vocabulary holds unless told otherwise.
-MAX_VOCABULARY = 1 << 18
-
-
 def with_rank(df: DataFrame, *order: Column, name: str = "index", label: str = "ranked") -> DataFrame:
     """Add the 0-based position of each row in a total order, without sorting in one task.
 
@@ -48,14 +44,17 @@ def term_stats(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("n").alias("cf"), F.count(F.lit(1)).alias("df"))
 
 
-def vocabulary_fit(counts: DataFrame, min_df: int = 1, max_size: int = MAX_VOCABULARY) -> DataFrame:
-    """``index, term, cf, df`` of the most frequent terms found in at least ``min_df`` documents.
+def vocabulary_fit(counts: DataFrame, min_df: int = 1, max_size: int | None = None) -> DataFrame:
+    """``index, term, cf, df`` of the terms found in at least ``min_df`` documents.
 
-    Index 0 is the most frequent term; ties are ordered by term.
+    Index 0 is the most frequent term; ties are ordered by term. ``max_size`` keeps only the most
+    frequent terms; without it the vocabulary is whole.
     """
     kept = term_stats(counts).where(F.col("df") >= min_df)
     ranked = with_rank(kept, F.desc("cf"), F.asc("term"), label="vocabulary")
-    return ranked.where(F.col("index") < max_size).select("index", "term", "cf", "df")
+    if max_size is not None:
+        ranked = ranked.where(F.col("index") < max_size)
+    return ranked.select("index", "term", "cf", "df")
 
 
 def doc_features(counts: DataFrame, vocabulary: DataFrame, classifier_id: str) -> DataFrame:

@@ -41,13 +41,14 @@ def lookup_join(
     """Join with a lookup that is cheap to read, such as a stored table or literal rows.
 
     The lookup is measured first. A small one is broadcast, so ``rows`` never move. A larger one is
-    copied once per salt and joined by shuffle on key and salt: the salt is a hash of the whole row,
-    so a key holding a third of all rows still spreads over all salts.
+    copied once per salt and joined by shuffle on key and salt: the salt is a hash of the row's columns
+    (maps, which have no hash, left out), so a key holding a third of all rows still spreads over all salts.
     """
     on = [on] if isinstance(on, str) else list(on)
     if lookup_bytes(lookup) <= max_bytes:
         return rows.join(F.broadcast(lookup), on, how)
     salts = F.sequence(F.lit(0).cast("long"), F.lit(SALT_BUCKETS - 1).cast("long"))
     salted_lookup = lookup.withColumn("_salt", F.explode(salts))
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALT_BUCKETS)))
+    hashed = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(SALT_BUCKETS)))
     return salted_rows.join(salted_lookup, [*on, "_salt"], how).drop("_salt")

@@ -50,7 +50,8 @@ def fit_sentiment(
     """
     stages = sentiment_stages(text, buckets)
     if named:
-        labels = [str(v) for v in class_labels(training)]
+        # Of the rows that are fitted on: a label without text is no class.
+        labels = [str(v) for v in class_labels(training.where(F.col(text).isNotNull()))]
         stages.append(IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels))
     rows = training.where(F.col("label").isNotNull() & F.col(text).isNotNull())
     return Pipeline(stages=stages).fit(rows.select(F.col("label").cast("double").alias("label"), text))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,15 +27,16 @@ def get_session(app_name: str = "textloom", master: str | None = None, **conf: s
 def scratch_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
-    Only a local session without one gets a folder of its own; a cluster has to name a folder that
-    every executor can reach.
+    Only a local session without one gets a folder of its own, in its warehouse; a cluster has to name a
+    folder that every executor can reach.
     """
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    spark.sparkContext.setCheckpointDir(f"{warehouse}/textloom-scratch")
     return spark.sparkContext.getCheckpointDir()
 
 

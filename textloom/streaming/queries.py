@@ -14,10 +14,9 @@ from textloom.operators.filters import having_min_count, query_view, with_any_ke
 from textloom.operators.sentiment import score
 from textloom.operators.trends import LATENESS, hashtag_rows, sorted_trend, window_bounds, windowed_trend
 
-# Batch interval, rows shown on the console, and the sample pattern.
+# Batch interval and rows shown on the console.
 BATCH_INTERVAL = "5 seconds"
 CONSOLE_ROWS = 100
-SAMPLE_PATTERN = "%Streamy%"
 # State of many hashtags lives on disk beside the executor instead of in its heap.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -111,12 +110,12 @@ def trend_report(records: DataFrame) -> DataFrame:
     return window_bounds(sorted_trend(popular_trends(records)))
 
 
-def status_report(records: DataFrame, pattern: str = SAMPLE_PATTERN, view: str = "records") -> DataFrame:
+def status_report(records: DataFrame, pattern: str, view: str = "records") -> DataFrame:
     """Records whose status is like a pattern, by SQL over a view of the stream."""
     return query_view(records, view, f"SELECT * FROM {view} WHERE status LIKE :pattern", pattern=pattern)
 
 
-def start_reports(records: DataFrame, checkpoint: str, pattern: str = SAMPLE_PATTERN) -> list[StreamingQuery]:
+def start_reports(records: DataFrame, checkpoint: str, pattern: str) -> list[StreamingQuery]:
     """The trend report and the status report on the console, side by side."""
     return [
         console_sink(trend_report(records), f"{checkpoint}/trends", "complete").start(),
