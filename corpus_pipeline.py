@@ -7,7 +7,6 @@ last one returns packed pieces. Between stages the rows are written as Parquet a
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from textloom.llm import decontaminate, exact, jaccard, language, packing
 from textloom.llm.common import table
@@ -19,15 +18,8 @@ ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language can be told: not null, with letters, one codeword nearest.
-
-    Rows that share a ``doc_id`` are judged together: they go if one of them is rejected.
-    """
-    model = language.fit_languages(docs)
-    judged = language.identify_languages(docs, model)
-    rejected = judged.where(F.col("ambiguous") | (F.col("lang_pred") == language.UNKNOWN))
-    rejected = rejected.select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_rejected")), "left_anti")
+    """Keep documents whose language can be told: not null, with letters, one codeword nearest."""
+    return language.keep_identified(docs, language.fit_languages(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents with at least one word in twenty inside a benchmark window."""
-    judged = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = judged.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,6 +105,49 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[
     ]
 
 
+def shared_windows(benchmark: DataFrame, window: int, block_bytes: int) -> list[tuple]:
+    """Broadcast windows of each block, under a name of their own."""
+    context = benchmark.sparkSession.sparkContext
+    return [
+        (uuid.uuid4().hex, context.broadcast([w for row in block for w in item_windows(*row, window)]))
+        for block in benchmark_blocks(benchmark, block_bytes)
+    ]
+
+
+def search_texts(column: pa.Array, shared: list[tuple]) -> tuple[np.ndarray, list, list, list]:
+    """Words, hit word ranges, their byte ranges and items of each text of an Arrow column."""
+    data, offsets = arrow_text(column)
+    raw, n = memoryview(data), len(column)
+    counts = np.zeros(n, np.int64)
+    hits, spans, items = [[] for _ in range(n)], [[] for _ in range(n)], [set() for _ in range(n)]
+    for name, windows in shared:
+        if name not in _automata:
+            _automata.clear()
+            _automata[name] = automaton(windows.value)
+        built = _automata[name]
+        for i in range(n):
+            counts[i], h, s, names = scan(bytes(raw[offsets[i] : offsets[i + 1]]), built)
+            hits[i] += h
+            spans[i] += s
+            items[i].update(names)
+    return counts, hits, spans, items
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of ``docs``, with all columns, that are not contaminated; no row is shuffled."""
+    shared = shared_windows(benchmark, window, block_bytes)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, hits, _, _ = search_texts(batch.column("text"), shared)
+            n_hit = np.array([sum(b - a for a, b in merge(h)) for h in hits], np.int64)
+            yield batch.filter(pa.array(~((n_hit > 0) & (20 * n_hit >= counts))))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def contamination_hits(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -119,31 +162,11 @@ def contamination_hits(
     items without words have no windows; equal windows of several items count for each of them; repeated
     rows give repeated results; an empty benchmark hits nothing; other columns are ignored.
     """
-    spark = docs.sparkSession
-    blocks = benchmark_blocks(benchmark, block_bytes)
-    shared = [
-        (uuid.uuid4().hex, spark.sparkContext.broadcast([w for row in block for w in item_windows(*row, window)]))
-        for block in blocks
-    ]
+    shared = shared_windows(benchmark, window, block_bytes)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = arrow_text(batch.column(1))
-            raw = memoryview(data)
-            n = len(batch)
-            counts = np.zeros(n, np.int64)
-            hits, spans, items = [[] for _ in range(n)], [[] for _ in range(n)], [set() for _ in range(n)]
-            for name, windows in shared:
-                if name not in _automata:
-                    _automata.clear()
-                    _automata[name] = automaton(windows.value)
-                built = _automata[name]
-                for i in range(n):
-                    text = bytes(raw[offsets[i] : offsets[i + 1]])
-                    counts[i], h, s, names = scan(text, built)
-                    hits[i] += h
-                    spans[i] += s
-                    items[i].update(names)
+            counts, hits, spans, items = search_texts(batch.column(1), shared)
             pair = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
             as_pairs = lambda rows: [[{"first": a, "last": b} for a, b in merge(r)] for r in rows]
             yield pa.RecordBatch.from_arrays(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -172,6 +173,41 @@ def fit_languages(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int
     return fit_codes(features, np.array([seen.index(x) for x in names]), seen, seed)
 
 
+def judge(model: LanguageModel, column: pa.Array, min_margin: float = MIN_MARGIN) -> list[pa.Array]:
+    """Language, score and ambiguity of each text of an Arrow column."""
+    texts = column.to_pylist()
+    lettered = [bool(model.languages) and t is not None and any(map(str.isalpha, t)) for t in texts]
+    names, scores, close = [], [], []
+    block: list[np.ndarray] = []
+    for i, row in enumerate(gram_counts(*arrow_text(column)) if model.languages else ()):
+        block.append(row)
+        if len(block) == 128 or i + 1 == len(texts):
+            best, chance, near = model.decode(as_features(np.stack(block)), min_margin)
+            names += [model.languages[k] for k in best]
+            scores += chance.tolist()
+            close += near.tolist()
+            block = []
+    if not model.languages:
+        names, scores, close = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
+    return [
+        pa.array([n if ok else UNKNOWN for n, ok in zip(names, lettered)], pa.string()),
+        pa.array([float(s) if ok else 0.0 for s, ok in zip(scores, lettered)], pa.float64()),
+        pa.array([c or not ok for c, ok in zip(close, lettered)], pa.bool_()),
+    ]
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, min_margin: float = MIN_MARGIN) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose language is told and not ambiguous; no row is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ambiguous = judge(shared.value, batch.column("text"), min_margin)[2]
+            yield batch.filter(pa.compute.invert(ambiguous))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def identify_languages(docs: DataFrame, model: LanguageModel, min_margin: float = MIN_MARGIN) -> DataFrame:
     """``doc_id, lang_pred, score, ambiguous`` of every row, from its whole text.
 
@@ -184,31 +220,8 @@ def identify_languages(docs: DataFrame, model: LanguageModel, min_margin: float
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            lettered = np.array([t is not None and any(map(str.isalpha, t)) for t in texts], bool)
-            counts = gram_counts(*arrow_text(batch.column(1)))
-            names, scores, close = [], [], []
-            block: list[np.ndarray] = []
-            for i, row in enumerate(counts):
-                block.append(row)
-                if len(block) == 128 or i + 1 == len(texts):
-                    if model.languages:
-                        best, chance, near = model.decode(as_features(np.stack(block)), min_margin)
-                        names += [model.languages[k] for k in best]
-                        scores += chance.tolist()
-                        close += near.tolist()
-                    block = []
-            if not model.languages:
-                lettered[:] = False
-                names, scores, close = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
-            columns = [
-                batch.column(0),
-                pa.array([n if ok else UNKNOWN for n, ok in zip(names, lettered)], pa.string()),
-                pa.array([float(s) if ok else 0.0 for s, ok in zip(scores, lettered)], pa.float64()),
-                pa.array([c or not ok for c, ok in zip(close, lettered.tolist())], pa.bool_()),
-            ]
+            columns = [batch.column(0), *judge(shared.value, batch.column(1), min_margin)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "ambiguous"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -7,8 +7,7 @@ import numpy as np
 from textloom.llm.common import mix, power_tables, slabs
 
 # Distinct pieces whose ids one Python worker keeps before it starts anew.
-MAX_PIECES = 1_500_000
-SLAB_BYTES = 4 << 20
+MAX_PIECES = 1_000_000
 END_ID = 2
 
 # Byte classes of the public splitting rule of byte-level vocabularies. Letters hold both bytes of the
@@ -127,7 +126,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """Ids of each text of an Arrow string column, as unsigned 32-bit arrays, in order."""
-        for a, b in slabs(offsets, SLAB_BYTES):
+        for a, b in slabs(offsets):
             lo, hi = int(offsets[a]), int(offsets[b])
             if lo == hi:
                 yield from [np.zeros(0, np.uint32)] * (b - a)
