@@ -14,6 +14,8 @@ from textloom.session import stored
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Texts are hashed in slabs of about this many bytes, which bounds the arrays a task holds.
 SLAB_BYTES = 1 << 20
+# Bytes of one Arrow batch between the JVM and a Python worker, where Spark would fill 64 MB.
+BATCH_BYTES = 4 << 20
 # Bits of the hash that draws a sample; few enough to be exact as a share of one.
 DRAW_BITS = 52
 
@@ -84,6 +86,18 @@ def arrow_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)), offsets
 
 
+def in_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` over batches of about BATCH_BYTES; a longer row is a batch of its own.
+
+    Frames run after they are made, so the bound is set for the session and stays; a smaller one is kept.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    current = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if current > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
 def slabs(offsets: np.ndarray, size: int = SLAB_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``size`` bytes; a longer text is a range of its own."""
     first, n = 0, len(offsets) - 1

@@ -17,6 +17,7 @@ from textloom.llm.common import (
     hash_words,
     id_filter,
     id_slot,
+    in_batches,
     in_filter,
     mix,
     slabs,
@@ -24,9 +25,10 @@ from textloom.llm.common import (
 from textloom.session import stored
 
 WORDS, PERCENT = 5, 80
-# Shingles that the shared order puts last, and the documents of one Arrow batch that make one of them.
-# They change which shingles stand in a prefix, never which documents are linked.
-FREQUENT, FREQUENT_IN_BATCH = 200_000, 3
+# Shingles that the shared order puts last, and the documents of one block that make one of them. A block
+# holds consecutive documents with so many shingles. They change which shingles stand in a prefix, never
+# which documents are linked.
+FREQUENT, FREQUENT_IN_BLOCK, BLOCK_SHINGLES = 200_000, 3, 4_000_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
@@ -52,17 +54,28 @@ def prefix_length(n: int, percent: int) -> int:
 def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles, sorted, with their counts; at most FREQUENT of them."""
 
+    def often(block: list[np.ndarray]) -> pa.RecordBatch:
+        flat, apart = np.concatenate(block), FREQUENT_IN_BLOCK - 1
+        flat.sort()
+        # All but the first ``apart`` places of each run that is long enough.
+        values, n = np.unique(flat[apart:][flat[apart:] == flat[:-apart]], return_counts=True)
+        columns = [pa.array(values.view(np.int64)), pa.array(n.astype(np.int64) + apart)]
+        return pa.RecordBatch.from_arrays(columns, names=["shingle", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = [], 0
         for batch in batches:
-            sets = list(shingle_sets(*arrow_text(batch.column(0)), words))
-            if not sets:
-                continue
-            values, n = np.unique(np.concatenate(sets), return_counts=True)
-            often = n >= FREQUENT_IN_BATCH
-            columns = [pa.array(values[often].view(np.int64)), pa.array(n[often].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "n"])
-
-    counted = docs.select("text").mapInArrow(count, "shingle long, n long")
+            for values in shingle_sets(*arrow_text(batch.column(0)), words):
+                if len(values):
+                    block.append(values)
+                    held += len(values)
+                if held >= BLOCK_SHINGLES:
+                    yield often(block)
+                    block, held = [], 0
+        if block:
+            yield often(block)
+
+    counted = in_batches(docs.select("text"), count, "shingle long, n long")
     top = counted.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT)
     found = top.toArrow()
     shingles, n = found["shingle"].to_numpy().view(np.uint64), found["n"].to_numpy()
@@ -114,7 +127,7 @@ def set_prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n long, s1 long, s2 long, p1 long, p2 long, rare array<long>, often array<long>"
-    return stored(rows.mapInArrow(prefixes, schema), "prefixes")
+    return stored(in_batches(rows, prefixes, schema), "prefixes")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -139,7 +152,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     rows = rows.withColumn("slot", id_slot(F.col("doc_id")))
-    found = stored(rows.mapInArrow(sets, "cid long, s1 long, shingles binary"), "sets")
+    found = stored(in_batches(rows, sets, "cid long, s1 long, shingles binary"), "sets")
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,7 +169,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
     left = found.toDF("a", "sa", "x")
     right = found.toDF("b", "sb", "y")
     both = pairs.join(left, ["a", "sa"]).join(right, ["b", "sb"]).select("a", "b", "x", "y")
-    return stored(both.mapInArrow(similar, "a long, b long").distinct(), "links")
+    return stored(in_batches(both, similar, "a long, b long").distinct(), "links")
 
 
 def prefix_size(n: str, percent: int) -> F.Column:
