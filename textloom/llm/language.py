@@ -11,7 +11,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import DRAW_BITS, arrow_text, slabs
+from textloom.llm.common import DRAW_BITS, arrow_text, in_batches, slabs
 
 UNKNOWN = "und"
 # Bound of the labelled rows that classifiers are fitted on, over all languages together.
@@ -165,7 +165,7 @@ def fit_languages(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "draw", "features"])
 
     drawn = rows.where(F.col("draw") <= limit).select("text", "lang", "draw")
-    drawn = drawn.mapInArrow(count, "lang string, draw long, features binary")
+    drawn = in_batches(drawn, count, "lang string, draw long, features binary")
     found = drawn.orderBy("draw", "lang", "features").limit(sample_rows + sample_rows // 10).toArrow()
     features = np.stack([np.frombuffer(x.as_buffer(), np.float16) for x in found["features"]]).astype(np.float32)
     names = found["lang"].to_pylist()
@@ -205,7 +205,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, min_margin: float = M
             ambiguous = judge(shared.value, batch.column("text"), min_margin)[2]
             yield batch.filter(pa.compute.invert(ambiguous))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return in_batches(docs, keep, docs.schema)
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, min_margin: float = MIN_MARGIN) -> DataFrame:
@@ -225,7 +225,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, min_margin: float
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "ambiguous"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(score, "doc_id long, lang_pred string, score double, ambiguous boolean")
+    return in_batches(rows, score, "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
 def fold_of(doc_id: Column, folds: int) -> Column:

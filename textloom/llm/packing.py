@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import arrow_text
+from textloom.llm.common import arrow_text, in_batches
 from textloom.llm.tokenize import END_ID, encoder
 from textloom.session import stored
 
@@ -174,7 +174,7 @@ def document_pieces(
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(cut, PIECES), "pieces")
+    return stored(in_batches(rows, cut, PIECES), "pieces")
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -208,7 +208,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("place")).alias("rank")
     )
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return ranked.mapInArrow(place, schema)
+    return in_batches(ranked, place, schema)
 
 
 def pack_documents(

@@ -8,6 +8,8 @@ from textloom.llm.common import mix, power_tables, slabs
 
 # Distinct pieces whose ids one Python worker keeps before it starts anew.
 MAX_PIECES = 1_000_000
+# Pieces given to the tokenizer at once; it holds offsets and strings of each until they are copied.
+PIECES_AT_ONCE = 4096
 END_ID = 2
 
 # Byte classes of the public splitting rule of byte-level vocabularies. Letters hold both bytes of the
@@ -48,11 +50,14 @@ class Encoder:
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         if len(self.hashes) + len(pieces) > MAX_PIECES:
             self._clear()
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        count = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        parts, count = [self.ids], np.zeros(len(pieces), np.int64)
+        for a in range(0, len(pieces), PIECES_AT_ONCE):
+            some = pieces[a : a + PIECES_AT_ONCE]
+            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            count[a : a + len(some)] = [len(ids) for ids in encoded]
+            parts.append(np.array([i for ids in encoded for i in ids], np.uint32))
         first = len(self.ids) + np.cumsum(count) - count
-        flat = np.fromiter((i for ids in encoded for i in ids), np.uint32, int(count.sum()))
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate(parts)
         order = np.argsort(both := np.concatenate([self.hashes, hashes]), kind="stable")
         self.hashes = both[order]
         self.first = np.concatenate([self.first, first])[order]
