@@ -200,6 +200,25 @@ def test_csv_documents(spark, tmp_path):
     assert dict(inferred.dtypes)["docIndex"] == "int" and inferred.count() == 1
 
 
+def test_csv_documents_are_read_by_column_name(spark, tmp_path):
+    path = tmp_path / "docs.csv"
+    path.write_text('text,extra,docIndex,Title\n"one\nline",x,7,T\ntwo,y,abc,U\n,z,9,V\n', encoding="utf-8")
+    got = readers.read_csv_documents(spark, str(path), multi_line=True)
+    assert got.columns == readers.DOCUMENT_SCHEMA.names
+    rows = [(r["docIndex"], r["Title"], r["Author"], r["text"]) for r in got.collect()]
+    assert rows == [(7, "T", None, "one\nline"), (None, "U", None, "two")]
+    named = readers.read_csv_documents(spark, str(path), "docIndex long, text string", multi_line=True)
+    assert [tuple(r) for r in named.collect()] == [(7, "one\nline"), (None, "two")]
+
+
+@pytest.mark.parametrize("schema", [readers.DOCUMENT_SCHEMA, None])
+def test_csv_documents_need_a_text_column(spark, tmp_path, schema):
+    path = tmp_path / "docs.csv"
+    path.write_text("docIndex,body\n1,a\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="text"):
+        readers.read_csv_documents(spark, str(path), schema)
+
+
 def test_labelled_csv(spark, tmp_path):
     path = tmp_path / "train.csv"
     path.write_text('"0","1","Mon","q","u","so ""sad"", really"\n"4","2","Tue","q","u","fine"\n', encoding="utf-8")

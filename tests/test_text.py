@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -153,3 +154,13 @@ def test_spans_equal_a_scan_of_the_text(spark, texts):
         assert [tuple(s) for s in row["v"]] == [
             (m.start(), m.end() - 1, m.group()) for m in re.finditer(pattern, text)
         ]
+
+
+def test_sentences_of_blanks_and_of_many_words(spark):
+    texts = ["a" + " " * 200_000 + "b", "word " * 20_000, "a. " * 20_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    started = time.perf_counter()
+    got = values(df, F.transform(an.spans(F.col("text"), an.SENTENCE), lambda s: s["end"])).collect()
+    assert time.perf_counter() - started < 10
+    assert [len(r["v"]) for r in got] == [1, 1, 20_000]
+    assert [r["v"][0] for r in got] == [200_001, 99_998, 1]

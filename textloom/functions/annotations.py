@@ -12,8 +12,9 @@ from textloom.functions.text import bind
 ANNOTATION_TYPE = (
     "array<struct<annotatorType:string,begin:int,end:int,result:string,metadata:map<string,string>>>"
 )
-# A sentence runs to a full stop, question or exclamation mark before whitespace, or to the end.
-SENTENCE = r"(?s)(?=\S).*?(?:[.!?](?=\s)|(?=\s*\z))"
+# A sentence runs to a full stop, question or exclamation mark before whitespace, or to the end: runs of
+# visible characters, each after one that does not end in such a mark. Nothing is tried twice.
+SENTENCE = r"\S++(?:(?<![.!?])\s++\S++)*+"
 # A token is a run of word characters or one other visible character.
 TOKEN = r"\w+|[^\w\s]"
 # Distances of the doubling passes; enough for the longest array Spark can hold.

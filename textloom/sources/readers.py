@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,7 @@ LABELLED_SCHEMA = T.StructType(
     ]
 )
 
+
 def read_csv_documents(
     spark: SparkSession,
     path: str,
@@ -41,12 +42,29 @@ def read_csv_documents(
 ) -> DataFrame:
     """Documents from CSV files with a header; rows without text are dropped.
 
-    ``schema=None`` infers the types with one more pass over the files. ``multi_line`` accepts line
-    breaks inside quotes; such files cannot be split between tasks.
+    Columns are found by their name in the header, in any order; those that ``schema`` does not name are
+    left out, and those that it names but the files lack are null. Files without a ``text`` column are an
+    error. A value that its type cannot hold is null. All files of ``path`` have the same header.
+    ``schema=None`` infers the types of all columns with one more pass over the files. ``multi_line``
+    accepts line breaks inside quotes; such files cannot be split between tasks.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return with_text(reader.csv(path))
+    if schema is None:
+        rows = reader.option("inferSchema", True).csv(path)
+    else:
+        rows = reader.csv(path)
+    if "text" not in rows.columns:
+        raise ValueError(f"no column text among {rows.columns}")
+    if schema is not None:
+        wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        rows = rows.select(*[_typed(rows, field) for field in wanted])
+    return with_text(rows)
+
+
+def _typed(rows: DataFrame, field: T.StructField) -> Column:
+    """The column of a field's name, cast to its type where the value allows."""
+    value = F.col(f"`{field.name}`").try_cast(field.dataType) if field.name in rows.columns else F.lit(None)
+    return value.cast(field.dataType).alias(field.name)
 
 
 def read_labelled_csv(spark: SparkSession, path: str) -> DataFrame:
