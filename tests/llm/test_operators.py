@@ -316,6 +316,31 @@ def test_repeated_passages(spark, empty):
     assert repeats.repeated_passages(empty).count() == 0
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Partitions of a shuffle stay as they are, however small."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
+def check_passages(frame, rows):
+    got = defaultdict(set)
+    for r in repeats.repeated_passages(frame).collect():
+        got[r["doc_id"]].update(range(r["first_word"], r["first_word"] + r["n_words"]))
+    want = {i: x for i, x in covered(rows, 50).items() if x}
+    assert {i: len(x) for i, x in got.items()} == {i: len(x) for i, x in want.items()}
+    assert got == want
+
+
+def test_passage_repeated_many_times_in_one_document(spark, many_ranges):
+    passage = prose(90, 60)
+    rows = [(1, " ".join(f"{passage} {prose(5000 + k, 60)}" for k in range(600))), (2, f"{prose(91, 30)} {passage}")]
+    check_passages(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
 def edit_at_most_one(a, b):
     if abs(len(a) - len(b)) > 1:
         return False

@@ -1,4 +1,4 @@
-"""Repeated passages by sparse suffix arrays over minimiser positions."""
+"""Repeated passages by sparse suffixes at minimiser positions and the word runs they hold."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,256 +14,162 @@ from textloom.llm.common import (
     arrow_text,
     gram_hashes,
     hash_words,
-    id_filter,
-    id_slot,
     in_filter,
+    mix,
+    power_tables,
     slabs,
 )
 from textloom.session import stored
 
 MIN_WORDS = 50
 # Words whose hash picks the positions and heads a suffix, and windows of them that share one position.
-# HEAD + SPREAD - 1 <= MIN_WORDS, so every passage of MIN_WORDS words keeps a position with its whole head.
+# HEAD + SPREAD - 1 <= MIN_WORDS, so every run of MIN_WORDS words keeps a position with its whole head.
 HEAD, SPREAD = 26, 25
-# Lengths of the two further blocks that order suffixes with equal heads.
-SECOND, THIRD = 12, 24
-# Words that a match is extended by to either side of its known part.
-REACH = 64
+# Bits of each filter over heads that stand in several documents.
+FILTER_BITS = 26
 
-NEIGHBOURS = "edge int, part int, head long, second long, third long, a long, a_pos int, b long, b_pos int, known int"
-KEYS = ["doc", "pos", "other", "other_pos", "known"]
-CONTEXT = "doc long, pos int, other long, other_pos int, known int, side int, before binary, after binary, chars binary"
+RUNS = "run long, doc_id long, pos int, end int, first_char int, last_char int"
 
 
 def minimisers(heads: np.ndarray, spread: int = SPREAD) -> np.ndarray:
-    """Positions that are the first smallest of ``spread`` consecutive heads."""
-    if len(heads) <= spread:
-        return np.array([int(heads.argmin())]) if len(heads) else np.zeros(0, np.int64)
+    """Per window of ``spread`` consecutive heads, the position of the first smallest."""
     windows = np.lib.stride_tricks.sliding_window_view(heads, spread)
-    return np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
+    return windows.argmin(axis=1) + np.arange(len(windows))
 
 
-def _blocks(words: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """Hash of ``size`` words from each position; 0 where the text ends before."""
-    out = np.zeros(len(at), np.uint64)
-    inside = at + size <= len(words)
-    if inside.any():
-        out[inside] = gram_hashes(words, size)[at[inside]]
-    return out
+def run_hashes(words: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of the words from ``first`` to before ``last``."""
+    powers, inverse = power_tables(len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * powers[: len(words)], out=sums[1:])
+    return mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
+
+
+def cells(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``head, first, last``: neighbouring runs of ``min_words`` words with the same suffix, and the words they hold."""
+    heads = gram_hashes(words, HEAD)
+    at = minimisers(heads)[: len(words) - min_words + 1]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    return heads[at[first]], first, np.append(first[1:], len(at)) + min_words - 1
+
 
+def _with_id(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
 
-def sparse_suffixes(docs: DataFrame) -> DataFrame:
-    """``head, second, third, doc_id, pos``: the suffixes kept of every text, named by hashes of their start."""
+
+def sparse_suffixes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``head, cell, doc_id``: the suffixes kept of every text, named by the hash of their first words, and their cells."""
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = arrow_text(batch.column(1))
-            found: list[list[np.ndarray]] = [[] for _ in range(5)]
             for a, b in slabs(offsets):
                 hashes, _, _, before = hash_words(data, offsets[a : b + 1], BLANK_WORDS)
+                found: list[list[np.ndarray]] = [[], [], []]
                 for i in range(b - a):
                     words = hashes[before[i] : before[i + 1]]
-                    if len(words) < HEAD:
+                    if len(words) < min_words:
                         continue
-                    heads = gram_hashes(words, HEAD)
-                    at = minimisers(heads)
-                    for column, values in zip(
-                        found,
-                        (
-                            heads[at],
-                            _blocks(words, at + HEAD, SECOND),
-                            _blocks(words, at + HEAD + SECOND, THIRD),
-                            np.full(len(at), ids[a + i]),
-                            at,
-                        ),
-                    ):
+                    head, first, last = cells(words, min_words)
+                    owner = np.full(len(head), ids[a + i], np.int64)
+                    for column, values in zip(found, (head, run_hashes(words, first, last), owner)):
                         column.append(values)
-            if found[0]:
-                columns = [pa.array(np.concatenate(c).view(np.int64)) for c in found[:3]]
-                columns.append(pa.array(np.concatenate(found[3]).astype(np.int64)))
-                columns.append(pa.array(np.concatenate(found[4]).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(columns, names=["head", "second", "third", "doc_id", "pos"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    return rows.mapInArrow(suffixes, "head long, second long, third long, doc_id long, pos int")
+                if found[0]:
+                    columns = [pa.array(np.concatenate(c).view(np.int64)) for c in found]
+                    yield pa.RecordBatch.from_arrays(columns, names=["head", "cell", "doc_id"])
 
+    return _with_id(docs).mapInArrow(suffixes, "head long, cell long, doc_id long")
 
-def neighbours(suffixes: DataFrame) -> DataFrame:
-    """``doc, pos, other, other_pos, known``: suffixes next to each other that share their head, in two documents.
 
-    ``known`` counts the first words they are known to share, by the blocks that agree. Every pair is given
-    from both sides.
+def head_filters(suffixes: DataFrame) -> np.ndarray:
+    """Two bit sets: heads that stand in several documents, and those of them with several cells.
 
-    The suffixes are sorted over all tasks by ranges, so one head that fills many documents spreads over
-    tasks. A row's neighbours are the nearest rows of other documents before and after it. Each task
-    also hands on its first and last row, two per task, to be compared across the border.
-    """
-    order = ["head", "second", "third", "doc_id", "pos"]
-    ordered = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        rows = pa.Table.from_batches(parts)
-        head, second, third, doc, pos = (rows[c].to_numpy() for c in order)
-        n, part = len(head), TaskContext.get().partitionId()
-        same_head = head[1:] == head[:-1]
-        begins = np.concatenate([[True], ~same_head | (doc[1:] != doc[:-1])])
-        run = np.cumsum(begins) - 1
-        first = np.flatnonzero(begins)
-        last = np.append(first[1:], n) - 1
-        # Runs are rows of one document under one head; the run before and after is another document's.
-        to_next = np.concatenate([same_head[first[1:] - 1], [False]])[run]
-        to_last = np.concatenate([[False], same_head[first[1:] - 1]])[run]
-        x = np.concatenate([np.flatnonzero(to_last), np.flatnonzero(to_next)])
-        y = np.concatenate([last[run[to_last] - 1], first[np.minimum(run[to_next] + 1, len(first) - 1)]])
-        edge = np.array([0, n - 1])
-        for kind, i, j in ((-1, x, y), (0, edge[:1], edge[:1]), (1, edge[1:], edge[1:])):
-            for k in range(0, len(i), 1 << 16):
-                a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
-                level = (second[a] == second[b]) & (second[a] != 0)
-                known = HEAD + np.where(level, SECOND + np.where((third[a] == third[b]) & (third[a] != 0), THIRD, 0), 0)
-                columns = [np.full(len(a), kind, np.int32), np.full(len(a), part, np.int32), head[a], second[a], third[a]]
-                columns += [doc[a], pos[a], doc[b], pos[b], known.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f.split()[0] for f in NEIGHBOURS.split(", ")])
-
-    found = stored(ordered.mapInArrow(compare, NEIGHBOURS), "neighbours")
-    # Two rows per task.
-    border = Window.orderBy("part", "edge")
-    names = ["edge", "head", "second", "third", "a", "a_pos"]
-    edges = found.where("edge >= 0").select(*names, *[F.lag(c).over(border).alias(f"last_{c}") for c in names])
-    edges = edges.where("edge = 0 and last_edge = 1 and head = last_head and a <> last_a")
-    same = (F.col("second") == F.col("last_second")) & (F.col("second") != 0)
-    longer = (F.col("third") == F.col("last_third")) & (F.col("third") != 0)
-    known = (
-        F.when(same & longer, HEAD + SECOND + THIRD).when(same, HEAD + SECOND).otherwise(HEAD)
-    ).cast("int")
-    across = edges.select("a", "a_pos", F.col("last_a").alias("b"), F.col("last_a_pos").alias("b_pos"), known.alias("known"))
-    pairs = found.where("edge < 0").select("a", "a_pos", "b", "b_pos", "known")
-    return pairs.union(across).union(across.select("b", "b_pos", "a", "a_pos", "known")).toDF(*KEYS)
-
-
-def sure_ranges(seeds: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
-    """What is known of every document, and what is left to look at.
-
-    Returns ``doc, island, first, last, other``: ranges covered by seeds that already share ``min_words`` words; and the
-    seeds to be extended: those at the ends of such a range, and shorter ones that no range covers.
+    Their size is fixed (8 MB each) however many heads there are. A bit too many only makes rows that meet nothing,
+    or runs one by one instead of a cell.
     """
-    own = Window.partitionBy("doc").orderBy("pos", F.desc("known"), "other", "other_pos")
-    sure = F.col("known") >= min_words
-    end = F.when(sure, F.col("pos") + F.col("known"))
-    before = F.max(end).over(own.rowsBetween(Window.unboundedPreceding, -1))
-    reach = F.max(end).over(own.rowsBetween(Window.unboundedPreceding, 0))
-    opens = (sure & (before.isNull() | (F.col("pos") > before))).cast("int")
-    marked = seeds.withColumn("reach", reach).withColumn("opens", opens)
-    marked = marked.withColumn("island", F.sum("opens").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    marked = stored(marked.withColumn("sure", sure), "seeds")
-    islands = marked.where("sure").groupBy("doc", "island").agg(
-        F.min("pos").alias("first"), F.max(F.col("pos") + F.col("known")).alias("last"), F.min("other").alias("low")
+    ends = [f(c).alias(f"{n}_{c}") for c in ("doc_id", "cell") for n, f in (("low", F.min), ("high", F.max))]
+    shared = suffixes.groupBy("head").agg(*ends).where("low_doc_id <> high_doc_id")
+    slot = F.col("head").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    bit = F.expr("shiftleft(1L, bit)")
+    words = shared.select(
+        F.shiftrightunsigned(slot, 5).alias("word"),
+        slot.bitwiseAND(F.lit(31)).cast("int").alias("bit"),
+        (F.col("low_cell") != F.col("high_cell")).alias("mixed"),
     )
-    islands = stored(islands, "ranges")
-    ends = marked.where("sure").join(islands.drop("low"), ["doc", "island"]).where(
-        (F.col("pos") == F.col("first")) | (F.col("pos") + F.col("known") == F.col("last"))
-    )
-    loose = marked.where(~F.col("sure") & (F.col("reach").isNull() | (F.col("reach") < F.col("pos") + F.col("known"))))
-    return islands, ends.select(KEYS).union(loose.select(KEYS)).distinct()
+    several = F.when(F.col("mixed"), bit).otherwise(F.lit(0).cast("long"))
+    found = words.groupBy("word").agg(F.bit_or(bit).alias("any"), F.bit_or(several).alias("mixed")).toArrow()
+    out = np.zeros((2, 1 << (FILTER_BITS - 5)), np.uint32)
+    for bits, column in zip(out, ("any", "mixed")):
+        bits[found["word"].to_numpy()] = found[column].to_numpy().astype(np.uint32)
+    return out
 
 
-def contexts(docs: DataFrame, seeds: DataFrame) -> DataFrame:
-    """For both documents of each seed: hashes of REACH words before and after its known words.
+def shared_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``run, doc_id, pos, end, first_char, last_char``: the runs of words that may stand in two documents.
 
-    The document asked about also gives the characters of these words. Only texts that hold a seed are moved;
-    requests of one document are gathered on its row, and their number is bounded by its own length.
+    Two equal runs of ``min_words`` words have the same suffix at the same place, so only those whose head
+    stands in several documents are kept. A cell is one run where its head has no other cell in any document;
+    all other cells give each of their runs of ``min_words`` words.
     """
-    sides = [
-        seeds.select(F.col(doc).alias("doc_id"), F.struct(*KEYS, F.lit(side).alias("side")).alias("request"))
-        for side, doc in enumerate(("doc", "other"))
-    ]
-    requests = sides[0].union(sides[1]).groupBy("doc_id").agg(F.collect_list("request").alias("requests"))
-    requests = stored(requests, "requests")
-    shared = docs.sparkSession.sparkContext.broadcast(id_filter(requests, "doc_id"))
-
-    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-        for batch in batches:
-            yield batch.filter(pa.array(in_filter(bits, batch.column("slot").to_numpy()))).select(["doc_id", "text"])
+    live = docs.sparkSession.sparkContext.broadcast(head_filters(sparse_suffixes(docs, min_words)))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    texts = rows.withColumn("slot", id_slot(F.col("doc_id"))).mapInArrow(wanted, "doc_id long, text string")
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in CONTEXT.split(", ")]
-        types = [pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 3, *[pa.binary()] * 3]
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (several, mixed), names = live.value, [f.split()[0] for f in RUNS.split(", ")]
         for batch in batches:
-            data, offsets = arrow_text(batch.column(0))
-            out = []
-            for i, asked in enumerate(batch.column(1)):
-                hashes, first, last, _ = hash_words(data, offsets[i : i + 2], BLANK_WORDS)
-                raw = data[offsets[i] : offsets[i + 1]]
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            data, offsets = arrow_text(batch.column(1))
+            for a, b in slabs(offsets):
+                hashes, begin, end, before = hash_words(data, offsets[a : b + 1], BLANK_WORDS)
+                raw = data[offsets[a] : offsets[b]]
                 # Characters before each byte.
                 chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-                for r in asked.as_py():
-                    x = r["other_pos"] if r["side"] else r["pos"]
-                    y = x + r["known"]
-                    if y > len(hashes):  # another text of the same doc_id
+                found: list[list[np.ndarray]] = [[] for _ in names]
+                for i in range(b - a):
+                    words = hashes[before[i] : before[i + 1]]
+                    if len(words) < min_words:
                         continue
-                    lo, hi = max(0, x - REACH), min(len(hashes), y + REACH)
-                    spots = b""
-                    if not r["side"]:
-                        spots = np.concatenate([chars[first[lo : x + 1]], chars[last[y - 1 : hi]]]).astype(np.int32).tobytes()
-                    key = (*(r[k] for k in KEYS), r["side"])
-                    out.append((*key, hashes[lo:x].tobytes(), hashes[y:hi].tobytes(), spots))
-                if len(out) >= 4096:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
-
-    return texts.join(requests, "doc_id").select("text", "requests").mapInArrow(answer, CONTEXT)
-
-
-def common_prefix(x: np.ndarray, y: np.ndarray) -> int:
-    n = min(len(x), len(y))
-    differ = np.flatnonzero(x[:n] != y[:n])
-    return int(differ[0]) if len(differ) else n
-
-
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, with_doc, first_word, last_word, first_char, last_char`` of matches and of ranges known to match.
-
-    Characters are given where a range ends; inner ends have none.
-    """
-    if not HEAD + SPREAD - 1 <= min_words <= min(REACH, HEAD + SECOND + THIRD):
-        raise ValueError(f"min_words has to lie between {HEAD + SPREAD - 1} and {min(REACH, HEAD + SECOND + THIRD)}")
-    ranges, seeds = sure_ranges(neighbours(sparse_suffixes(docs)).distinct(), min_words)
-    asked = contexts(docs, stored(seeds, "asked"))
-    left = asked.where("side = 0").select(*KEYS, "before", "after", "chars")
-    right = asked.where("side = 1").select(*KEYS, F.col("before").alias("other_before"), F.col("after").alias("other_after"))
-
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = lambda x: np.frombuffer(x, np.uint64)
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                back = common_prefix(words(r["before"])[::-1], words(r["other_before"])[::-1])
-                on = common_prefix(words(r["after"]), words(r["other_after"]))
-                if r["known"] + back + on < min_words:
-                    continue
-                spots, head = np.frombuffer(r["chars"], np.int32), len(r["before"]) // 8
-                first, last = r["pos"] - back, r["pos"] + r["known"] + on
-                out.append((r["doc"], r["other"], first, last, int(spots[head - back]), int(spots[head + 1 + on])))
-            if out:
-                names = ["doc_id", "with_doc", "first_word", "last_word", "first_char", "last_char"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
-
-    schema = "doc_id long, with_doc long, first_word long, last_word long, first_char long, last_char long"
-    matches = left.join(right, KEYS).mapInArrow(extend, schema)
-    nothing = F.lit(None).cast("long")
-    return matches.union(
-        ranges.select("doc", "low", F.col("first").cast("long"), F.col("last").cast("long"), nothing, nothing)
-    )
+                    head, first, last = cells(words, min_words)
+                    slots = (head & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+                    kept, single = in_filter(several, slots), in_filter(mixed, slots)
+                    whole, apart = kept & ~single, kept & single
+                    count = last[apart] - first[apart] - min_words + 1
+                    inner = np.repeat(first[apart] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                    x = np.concatenate([first[whole], inner])
+                    y = np.concatenate([last[whole], inner + min_words])
+                    if not len(x):
+                        continue
+                    start = chars[offsets[a + i] - offsets[a]]
+                    values = (
+                        run_hashes(words, x, y).view(np.int64),
+                        np.full(len(x), ids[a + i], np.int64),
+                        x.astype(np.int32),
+                        y.astype(np.int32),
+                        (chars[begin[before[i] + x]] - start).astype(np.int32),
+                        (chars[end[before[i] + y - 1]] - start).astype(np.int32),
+                    )
+                    for column, part in zip(found, values):
+                        column.append(part)
+                if found[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], names=names)
+
+    return stored(_with_id(docs).mapInArrow(runs, RUNS), "runs")
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, pos, end, first_char, last_char, other``: every run that stands in another document, and the smallest such."""
+    if min_words < HEAD + SPREAD - 1:
+        raise ValueError(f"min_words has to be at least {HEAD + SPREAD - 1}")
+    runs = shared_runs(docs, min_words)
+    low, high = F.min("doc_id").alias("low"), F.max("doc_id").alias("high")
+    repeated = runs.groupBy("run").agg(low, high).where("low <> high").select("run", "low")
+    met = stored(runs.join(repeated, "run"), "met")
+    later = met.where("doc_id <> low")
+    # The first document of a run meets the second one.
+    second = later.groupBy("run").agg(F.min("doc_id").alias("other"))
+    first = met.where("doc_id = low").join(second, "run")
+    place = ["doc_id", "pos", "end", "first_char", "last_char"]
+    return first.select(*place, "other").union(later.select(*place, F.col("low").alias("other")))
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -272,30 +177,30 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     A passage is a run of at least ``min_words`` words (between ASCII blanks, A-Z in lower case) that stands
     in another document as well. Overlapping passages of a document are one row; ``with_doc`` is the
-    smallest other document met in it and ``seen_before`` whether that is smaller than ``doc_id``. The place is
-    given in words and in characters of the original text.
+    smallest other document that holds ``min_words`` words of it and ``seen_before`` whether that is smaller
+    than ``doc_id``. The place is given in words and in characters of the original text.
 
     Method: of every text only suffixes at minimisers of HEAD-word hashes are kept, about one in thirteen
-    words. They are sorted by the hashes of their first words; neighbours in that order that share the
-    head are matched. Where the blocks of their heads already show ``min_words`` common words, ranges of such
-    matches are joined and extended word by word at their ends; all other matches are extended one by one.
-    Words are compared by 64-bit hash. A match is extended by up to REACH words beyond its known words.
+    words. A cell is the words of all runs of ``min_words`` words that keep the same suffix. Heads that stand in
+    several documents pick, in a second scan, the cells that may be repeated: a cell whole where its head
+    has no other, else each of its runs, by the hash of all its words. Equal ones meet by groups with map-side
+    combining, whatever the number of documents or of places in one document, and overlapping ones are joined.
+    No pair of documents is made and none is left out.
 
     Edge cases: null, empty and shorter texts have no passage; a passage repeated only inside one
     document is not reported; rows without ``doc_id`` are left out; rows that repeat a ``doc_id`` are the same
     document; equal documents are one passage each; an empty table gives no rows; other columns are ignored.
     """
-    spans = repeated_spans(docs, min_words)
-    own = Window.partitionBy("doc_id").orderBy("first_word", "last_word")
-    before = F.max("last_word").over(own.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.coalesce((F.col("first_word") > before).cast("int"), F.lit(0))
-    marked = spans.distinct().withColumn("opens", opens).withColumn("passage", F.sum("opens").over(own))
+    own = Window.partitionBy("doc_id").orderBy("pos", "end")
+    before = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce((F.col("pos") > before).cast("int"), F.lit(0))
+    marked = repeated_runs(docs, min_words).withColumn("opens", opens).withColumn("passage", F.sum("opens").over(own))
     merged = marked.groupBy("doc_id", "passage").agg(
-        F.min("first_word").alias("first_word"),
-        F.max("last_word").alias("last_word"),
-        F.min("first_char").alias("first_char"),
-        F.max("last_char").alias("last_char"),
-        F.min("with_doc").alias("with_doc"),
+        F.min("pos").cast("long").alias("first_word"),
+        F.max("end").cast("long").alias("last_word"),
+        F.min("first_char").cast("long").alias("first_char"),
+        F.max("last_char").cast("long").alias("last_char"),
+        F.min("other").alias("with_doc"),
     )
     return merged.select(
         "doc_id",
