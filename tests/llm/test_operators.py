@@ -341,6 +341,22 @@ def test_passage_repeated_many_times_in_one_document(spark, many_ranges):
     check_passages(spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
+def test_passage_whose_words_behind_stand_in_many_documents(spark):
+    common = prose(92, 40)
+    rows = [(k, f"{prose(6000 + k, 30)} {common} {prose(7000 + k, 30)}") for k in range(400)]
+    for k in range(30):
+        own = prose(8000 + k, 20)
+        rows += [(1000 + 2 * k + n, f"{prose(9000 + 2 * k + n, 30)} {own} {common} {prose(9500 + 2 * k + n, 30)}") for n in (0, 1)]
+    check_passages(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
+def test_passage_names_the_smallest_other_document(spark):
+    passage = prose(93, 60)
+    rows = [(k, f"{prose(9700 + k, 30)} {passage}") for k in (9, 3, 7, 5)] + [(3, f"{passage} {prose(9800, 70)} {passage}")]
+    frame = repeats.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r["doc_id"], r["with_doc"], r["seen_before"]) for r in frame.collect()} == {(3, 5, False), (5, 3, True), (7, 3, True), (9, 3, True)}
+
+
 def edit_at_most_one(a, b):
     if abs(len(a) - len(b)) > 1:
         return False
