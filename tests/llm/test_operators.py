@@ -99,6 +99,14 @@ def test_encoder_is_the_tokenizer():
         assert all(np.array_equal(a, b.ids) for a, b in zip(own.encode(*arrow_text(pa.array(texts))), want))
 
 
+def test_encoder_with_more_pieces_than_it_keeps(monkeypatch):
+    monkeypatch.setattr(tokenize, "MAX_PIECES", 5)
+    own = tokenize.Encoder(TOKENIZER)
+    for texts in (["one two three"], ["one four five six seven eight nine ten two"], ["four", "two eleven"]):
+        want = own.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert all(np.array_equal(a, b.ids) for a, b in zip(own.encode(*arrow_text(pa.array(texts))), want))
+
+
 def encoded(text):
     tokenizer = tokenize.encoder(TOKENIZER).tokenizer
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")

@@ -6,7 +6,7 @@ import numpy as np
 
 from textloom.llm.common import mix, power_tables, slabs
 
-# Distinct pieces whose ids one Python worker keeps before it starts anew.
+# Distinct pieces whose ids one Python worker keeps before it starts anew; those of one slab are kept whatever their number.
 MAX_PIECES = 1_000_000
 # Pieces given to the tokenizer at once; it holds offsets and strings of each until they are copied.
 PIECES_AT_ONCE = 4096
@@ -48,8 +48,6 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        if len(self.hashes) + len(pieces) > MAX_PIECES:
-            self._clear()
         parts, count = [self.ids], np.zeros(len(pieces), np.int64)
         for a in range(0, len(pieces), PIECES_AT_ONCE):
             some = pieces[a : a + PIECES_AT_ONCE]
@@ -98,18 +96,16 @@ class Encoder:
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[: len(raw)], out=sums[1:])
         hashes = mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
         distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
-        at = self._find(distinct)
-        if (new := at < 0).any():
+        new = (at := self._find(distinct)) < 0
+        if new.any():
+            if len(self.hashes) + int(new.sum()) > MAX_PIECES:
+                self._clear()
+                new[:] = True
             pick = where[new]
             pieces = [raw[a:b].tobytes().decode() for a, b in zip(first[pick].tolist(), last[pick].tolist())]
-            before = len(self.hashes)
             self._learn(distinct[new], pieces)
-            if len(self.hashes) < before + len(pieces):  # started anew
-                known = ~new
-                pick = where[known]
-                pieces = [raw[a:b].tobytes().decode() for a, b in zip(first[pick].tolist(), last[pick].tolist())]
-                self._learn(distinct[known], pieces)
             at = self._find(distinct)
+            assert (at >= 0).all()
         counts, begins = self.count[at][back], self.first[at][back]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
