@@ -416,6 +416,19 @@ def test_line_dedup(spark, empty):
     assert len(near) > 20 and lines.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_of_rows_that_share_an_id(spark):
+    shared, close = prose(400, 8), prose(401, 8)
+    rows = [(None, f"{prose(410 + k, 4)}\n{shared if k % 2 else prose(420 + k, 4)}\n{prose(430 + k, 4)}") for k in range(6)]
+    rows += [(7, "\n".join(prose(440 + k, 4) for k in range(9)) + f"\n{close}x\n{shared}"), (7, prose(450, 4)), (7, f"{close}y")]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = [line for _, t in rows for line in t.split("\n")]
+    kept = sorted(line for r in got for line in r["text"].split("\n") if line)
+    assert len(kept) == len(set(texts)) - 1 and set(texts) - set(kept) < {f"{close}x", f"{close}y"}
+    assert sum(r["n_lines"] for r in got) == len(texts) and sum(r["n_near"] for r in got) == 1
+    assert all(r["n_lines"] - r["n_dropped"] == len([x for x in r["text"].split("\n") if x]) for r in got)
+    assert sorted((r["doc_id"] or 0) for r in got) == [0] * 6 + [7] * 3
+
+
 def test_rotation(spark):
     turns = [
         (1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob b", "hey <|im_end|>"), (1, 3, "ann", None),

@@ -15,12 +15,20 @@ SEGMENT, SEGMENTS = 16, 64
 SLOT_BITS = 18
 # Half lines are cut at multiples of this.
 GRID = 8
+# A document, and the place of a line; earlier places are smaller.
+DOC = ["doc_id", "text_key"]
+PLACE = [*DOC, "line_no"]
+
+
+def text_key() -> Column:
+    """Hash of a text; rows that share a ``doc_id`` but not the text are told apart by it."""
+    return F.xxhash64("text").alias("text_key")
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line`` without blank lines; white space at the ends is not part of a line."""
+    """``doc_id, text_key, line_no, line`` without blank lines; white space at the ends is not part of a line."""
     pieces = F.posexplode(F.split(F.col("text"), "\n"))
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", pieces.alias("line_no", "line"))
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", text_key(), pieces.alias("line_no", "line"))
     return rows.withColumn("line", F.btrim("line", F.lit(" \t\r"))).where(F.col("line") != "")
 
 
@@ -119,30 +127,29 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     edit distance.
     """
     long_lines = document_lines(docs).where(F.char_length("line") >= min_chars)
-    keyed = long_lines.select("doc_id", "line_no", *line_key(F.col("line")), half_keys(F.col("line"), min_chars).alias("halves"))
+    keyed = long_lines.select(*PLACE, *line_key(F.col("line")), half_keys(F.col("line"), min_chars).alias("halves"))
     # One row per distinct line; its halves depend on the line alone.
-    firsts = keyed.groupBy("k1", "k2", "halves").agg(F.min(F.struct("doc_id", "line_no")).alias("place"))
+    firsts = keyed.groupBy("k1", "k2", "halves").agg(F.min(F.struct(*PLACE)).alias("place"))
     firsts = stored(firsts, "lines-distinct")
-    firsts = firsts.select("k1", "k2", "place.doc_id", "place.line_no", F.explode("halves").alias("half"))
+    firsts = firsts.select("k1", "k2", "place.*", F.explode("halves").alias("half"))
     shared = firsts.groupBy("half").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high")
-    chosen = firsts.join(shared.select("half"), "half", "left_semi").select("k1", "k2", "doc_id", "line_no").distinct()
+    chosen = firsts.join(shared.select("half"), "half", "left_semi").select("k1", "k2", *PLACE).distinct()
     chosen = stored(chosen, "lines-chosen")
 
-    of_doc = chosen.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line_no").alias("wanted"))
-    held = docs.select("doc_id", "text").where(maybe_among(chosen, "doc_id"))
-    held = held.join(of_doc, F.col("doc_id") == F.col("_doc"))
-    held = held.select("doc_id", F.split("text", "\n").alias("pieces"), "wanted")
+    of_doc = chosen.groupBy(*DOC).agg(F.collect_set("line_no").alias("wanted"))
+    held = docs.select("doc_id", text_key(), "text").where(maybe_among(chosen, "doc_id")).join(of_doc, DOC)
+    held = held.select(*DOC, F.split("text", "\n").alias("pieces"), "wanted")
     wanted = F.transform(
-        "wanted", lambda i: F.struct(i.alias("line_no"), F.element_at("pieces", i + 1).alias("line"))
+        "wanted", lambda i: F.struct(i.alias("line_no"), F.try_element_at("pieces", i + 1).alias("line"))
     )
-    texts = held.select("doc_id", F.explode(wanted).alias("x"))
-    texts = texts.select("doc_id", "x.line_no", F.btrim("x.line", F.lit(" \t\r")).alias("line"))
-    texts = stored(texts.select("doc_id", "line_no", "line", *line_key(F.col("line"))), "lines-texts")
+    texts = held.select(*DOC, F.explode(wanted).alias("x"))
+    texts = texts.select(*DOC, "x.line_no", F.btrim("x.line", F.lit(" \t\r")).alias("line"))
+    texts = stored(texts.select(*PLACE, "line", *line_key(F.col("line"))), "lines-texts")
 
     line = F.col("line")
     longer = F.when(F.char_length(line) > min_chars, segments(line, True)).otherwise(F.slice(segments(line, False), 1, 0))
     around = texts.select(
-        F.struct("doc_id", "line_no").alias("place"), "k1", "k2", F.explode(F.concat(segments(line, False), longer)).alias("s")
+        F.struct(*PLACE).alias("place"), "k1", "k2", F.explode(F.concat(segments(line, False), longer)).alias("s")
     )
     around = stored(around.select("place", "k1", "k2", "s.grown", "s.around", "s.hole"), "lines-segments")
     met = around.groupBy("around").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high")
@@ -164,7 +171,7 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     earlier = met.groupBy("k1", "k2", "place").agg(F.min(F.when(other < F.col("place"), other)).alias("other"))
     earlier = earlier.where(F.col("other").isNotNull())
     left = texts.select("k1", "k2", "line")
-    right = texts.select(F.struct("doc_id", "line_no").alias("other"), F.col("line").alias("other_line"))
+    right = texts.select(F.struct(*PLACE).alias("other"), F.col("line").alias("other_line"))
     checked = earlier.join(left, ["k1", "k2"]).join(right, "other")
     return checked.where(F.levenshtein("line", "other_line", 1) == 1).select(
         "k1", "k2", F.col("other.doc_id").alias("near_doc"), F.col("other.line_no").alias("near_line")
@@ -172,16 +179,14 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``doc_id, line_no, near``: lines that go, either equal (``near`` false) or close to an earlier one."""
-    places = document_lines(docs).select("doc_id", "line_no", *line_key(F.col("line")))
-    first = F.min(F.struct("doc_id", "line_no")).alias("first")
+    """``doc_id, text_key, line_no, near``: lines that go, either equal (``near`` false) or close to an earlier one."""
+    places = document_lines(docs).select(*PLACE, *line_key(F.col("line")))
+    first = F.min(F.struct(*PLACE)).alias("first")
     repeated = places.groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1")
     again = places.join(repeated.select("k1", "k2", "first"), ["k1", "k2"])
-    again = again.where(F.struct("doc_id", "line_no") != F.col("first"))
+    again = again.where(F.struct(*PLACE) != F.col("first"))
     close = places.join(near_lines(docs, min_chars).select("k1", "k2"), ["k1", "k2"])
-    return again.select("doc_id", "line_no", F.lit(False).alias("near")).union(
-        close.select("doc_id", "line_no", F.lit(True).alias("near"))
-    )
+    return again.select(*PLACE, F.lit(False).alias("near")).union(close.select(*PLACE, F.lit(True).alias("near")))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -192,17 +197,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     line is one character insertion, deletion or substitution away, both of at least ``min_chars``
     characters. ``n_dropped`` counts the lines that go, ``n_near`` those that go as close to an earlier one.
 
-    Edge cases: a null text stays null with no lines; an empty text has none; rows that share a ``doc_id`` are the
-    same document: equal lines at the same place of both stay; rows without ``doc_id`` come before all
-    others; an empty table gives no rows; other columns are ignored.
+    Edge cases: a null text stays null with no lines; an empty text has none; rows that agree in
+    ``doc_id`` and text are one document: the same lines of both stay; rows of one ``doc_id`` with different
+    texts are several, ordered by a hash of the text before the line number; rows without ``doc_id`` come
+    before all others; an empty table gives no rows; other columns are ignored.
     """
     no_id = F.lit(-(1 << 63)).cast("long")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("doc_id"), "text")
-    gone = dropped_lines(rows, min_chars).groupBy("doc_id").agg(
+    gone = dropped_lines(rows, min_chars).groupBy(*DOC).agg(
         F.collect_set("line_no").alias("gone"), F.collect_set(F.when(F.col("near"), F.col("line_no"))).alias("close")
     )
     pieces = F.split("text", "\n")
-    joined = rows.join(gone, "doc_id", "left").select(
+    joined = rows.select("doc_id", text_key(), "text").join(gone, DOC, "left").select(
         F.when(F.col("doc_id") != no_id, F.col("doc_id")).alias("doc_id"),
         "text",
         pieces.alias("pieces"),
