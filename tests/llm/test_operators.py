@@ -107,6 +107,30 @@ def test_encoder_with_more_pieces_than_it_keeps(monkeypatch):
         assert all(np.array_equal(a, b.ids) for a, b in zip(own.encode(*arrow_text(pa.array(texts))), want))
 
 
+def thue_morse(x, y, n=1024):
+    return "".join((x, y)[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_collide_modulo_powers_of_two(spark):
+    """Two words of 1,024 letters have one hash in any polynomial modulo 2^64."""
+    one, two = thue_morse("a", "b"), thue_morse("b", "a")
+    texts = [one, two, "x " + one, two + " y"]
+    own = tokenize.Encoder(TOKENIZER)
+    want = own.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert all(np.array_equal(a, b.ids) for a, b in zip(own.encode(*arrow_text(pa.array(texts))), want))
+    frame = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(frame).collect()}
+    assert found == {1: 1, 2: 2, 3: 1}
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(tokenize.RunHasher, "__call__", lambda self, first, last: (last - first).astype(np.uint64))
+    texts = ["one two six", "ten one", "", "two"]
+    own = tokenize.Encoder(TOKENIZER)
+    want = own.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert all(np.array_equal(a, b.ids) for a, b in zip(own.encode(*arrow_text(pa.array(texts))), want))
+
+
 def encoded(text):
     tokenizer = tokenize.encoder(TOKENIZER).tokenizer
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")

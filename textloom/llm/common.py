@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,9 +20,13 @@ BATCH_BYTES = 4 << 20
 # Bits of the hash that draws a sample; few enough to be exact as a share of one.
 DRAW_BITS = 52
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+# Word hashes are values of a polynomial modulo the prime 2^61 - 1, so equal low bits of a sum do not cancel.
+_PRIME = (1 << 61) - 1
+_BASE = 0x9E3779B97F4A7C15 % _PRIME
+_M = np.uint64(_PRIME)
+# Runs of more values than this would pass 64 bits in a partial sum and are hashed by a digest.
+LONGEST_RUN = 1 << 22
+_powers: dict[str, np.ndarray] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,14 +66,58 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            _powers[k] = np.cumprod(factors, dtype=np.uint64)
-    return _powers[0], _powers[1]
+def _low61(x: np.ndarray) -> np.ndarray:
+    x = (x & _M) + (x >> np.uint64(61))
+    return np.where(x >= _M, x - _M, x)
+
+
+def _shifted(x: np.ndarray) -> np.ndarray:
+    """``x * 2^32`` modulo the prime, below 2^62."""
+    x = _low61(x)
+    return ((x & np.uint64((1 << 29) - 1)) << np.uint64(32)) + (x >> np.uint64(29))
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of numbers below it."""
+    half, low = np.uint64(32), np.uint64((1 << 32) - 1)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    return _low61(_low61((a1 * b1) << np.uint64(3)) + _shifted(a1 * b0 + a0 * b1) + _low61(a0 * b0))
+
+
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Low 32 bits and rest of the first ``n`` powers of the base, and the powers of its inverse."""
+    if not _powers or len(_powers["low"]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        tables = []
+        for base in (_BASE, pow(_BASE, -1, _PRIME)):
+            powers = np.ones(1, np.uint64)
+            while len(powers) < size:
+                powers = np.concatenate([powers, times(powers, np.uint64(pow(base, len(powers), _PRIME)))])
+            tables.append(powers)
+        _powers.update(low=tables[0] & np.uint64((1 << 32) - 1), high=tables[0] >> np.uint64(32), inverse=tables[1])
+    return _powers["low"], _powers["high"], _powers["inverse"]
+
+
+class RunHasher:
+    """64-bit hashes of runs of an array of bytes; equal runs have equal hashes wherever they stand."""
+
+    def __init__(self, values: np.ndarray):
+        self.values, n = values, len(values)
+        low, high, self.inverse = power_tables(n + 1)
+        wide = values.astype(np.uint64) + np.uint64(1)
+        self.low, self.high = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+        np.cumsum(wide * low[:n], out=self.low[1:])
+        np.cumsum(wide * high[:n], out=self.high[1:])
+
+    def __call__(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hash of the values from ``first`` to before ``last``, for each pair of places."""
+        total = _low61(_low61(self.low[last] - self.low[first]) + _shifted(self.high[last] - self.high[first]))
+        size = (last - first).astype(np.uint64)
+        hashes = mix(times(total, self.inverse[first]) + (size << np.uint64(1)))
+        for i in np.flatnonzero(size > LONGEST_RUN).tolist():
+            digest = hashlib.blake2b(self.values[first[i] : last[i]].tobytes(), digest_size=8).digest()
+            hashes[i] = np.frombuffer(digest, np.uint64)[0]
+        return hashes
 
 
 def arrow_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -131,31 +180,24 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, lookup: np.ndarray, prefix
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | cut[1:n]
     first, last = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    powers, inverse = power_tables(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(folded.astype(np.uint64) * powers[:n], out=sums[1:])
-
-    def until(end: np.ndarray) -> np.ndarray:
-        return mix((sums[end] - sums[first]) * inverse[first] + (end - first).astype(np.uint64))
-
-    hashes = until(last)
+    run = RunHasher(folded)
+    hashes = run(first, last)
     if prefixes:
-        hashes = np.stack([hashes, *(until(np.minimum(first + size, last)) for size in prefixes)], axis=1)
+        hashes = np.stack([hashes, *(run(first, np.minimum(first + size, last)) for size in prefixes)], axis=1)
     return hashes, first, last, np.searchsorted(first, bounds, "left")
 
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of ``k`` words; ``words`` has at least ``k``."""
+    """Hash of each run of ``k`` words; ``words`` holds at least ``k`` word hashes."""
     n = len(words) - k + 1
-    if k <= 8:
-        total = np.zeros(n, np.uint64)
-        for i in range(k):
-            total = total * _BASE + words[i : i + n]
-        return mix(total)
-    powers, inverse = power_tables(len(words) + 1)
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * powers[: len(words)], out=sums[1:])
-    return mix((sums[k:] - sums[:-k]) * inverse[:n])
+    total = np.zeros(n, np.uint64)
+    for i in range(k):
+        # The shift brings high bits down, so sums of long patterned runs do not cancel.
+        total = (total ^ (total >> np.uint64(29))) * _STEP + words[i : i + n]
+    return mix(total)
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

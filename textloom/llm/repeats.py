@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import (
     BLANK_WORDS,
+    RunHasher,
     arrow_text,
     gram_hashes,
     hash_words,
     in_filter,
-    mix,
-    power_tables,
     slabs,
 )
 from textloom.session import stored
@@ -39,10 +38,7 @@ def minimisers(heads: np.ndarray, spread: int = SPREAD) -> np.ndarray:
 
 def run_hashes(words: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Hash of the words from ``first`` to before ``last``."""
-    powers, inverse = power_tables(len(words) + 1)
-    sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(words * powers[: len(words)], out=sums[1:])
-    return mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
+    return RunHasher(words.view(np.uint8))(8 * first, 8 * last)
 
 
 def cells(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from textloom.llm.common import mix, power_tables, slabs
+from textloom.llm.common import RunHasher, slabs
 
 # Distinct pieces whose ids one Python worker keeps before it starts anew; those of one slab are kept whatever their number.
 MAX_PIECES = 1_000_000
@@ -25,12 +25,27 @@ CLASSES[0x80:0xC0] = LETTER
 CLASSES[0xC3] = LETTER
 
 
+def differing(
+    a: np.ndarray, a_first: np.ndarray, a_last: np.ndarray, b: np.ndarray, b_first: np.ndarray, b_last: np.ndarray
+) -> np.ndarray:
+    """For each pair of byte runs, whether they differ."""
+    size = a_last - a_first
+    out = size != b_last - b_first
+    size = np.where(out, 0, size)
+    before = np.cumsum(size) - size
+    step = np.arange(size.sum())
+    unlike = a[step + np.repeat(a_first - before, size)] != b[step + np.repeat(b_first - before, size)]
+    if unlike.any():
+        out[np.unique(np.searchsorted(before + size, np.flatnonzero(unlike), "right"))] = True
+    return out
+
+
 class Encoder:
     """Encode texts as the tokenizer does, each distinct piece once.
 
     The tokenizer merges inside pieces of its splitting rule only: a run of letters, digits or other
     marks with the blank before it, or a line end. So the ids of a text are those of its pieces in
-    order. Pieces are cut and looked up by 64-bit hash in numpy; new ones go through the tokenizer. A text
+    order. Pieces are cut and looked up by 64-bit hash in numpy and compared byte by byte; new ones go through the tokenizer. A text
     that holds anything else (apostrophes, letters outside Latin-1, neighbouring white space, the
     string of a special token) goes through the tokenizer as a whole.
     """
@@ -46,20 +61,29 @@ class Encoder:
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        # The pieces themselves, to be compared with those of equal hash.
+        self.bytes = np.zeros(0, np.uint8)
+        self.begin = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
 
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         parts, count = [self.ids], np.zeros(len(pieces), np.int64)
         for a in range(0, len(pieces), PIECES_AT_ONCE):
-            some = pieces[a : a + PIECES_AT_ONCE]
+            some = [piece.decode() for piece in pieces[a : a + PIECES_AT_ONCE]]
             encoded = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
             count[a : a + len(some)] = [len(ids) for ids in encoded]
             parts.append(np.array([i for ids in encoded for i in ids], np.uint32))
         first = len(self.ids) + np.cumsum(count) - count
         self.ids = np.concatenate(parts)
+        size = np.array([len(piece) for piece in pieces], np.int64)
+        begin = len(self.bytes) + np.cumsum(size) - size
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(pieces), np.uint8)])
         order = np.argsort(both := np.concatenate([self.hashes, hashes]), kind="stable")
         self.hashes = both[order]
         self.first = np.concatenate([self.first, first])[order]
         self.count = np.concatenate([self.count, count])[order]
+        self.begin = np.concatenate([self.begin, begin])[order]
+        self.size = np.concatenate([self.size, size])[order]
 
     def _unusual(self, raw: np.ndarray, cls: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Per text, whether it has to go through the tokenizer as a whole."""
@@ -91,21 +115,22 @@ class Encoder:
         # A piece ends where the next one starts, or with its text.
         text_of = np.searchsorted(bounds, first, "right") - 1
         last = np.minimum(np.append(first[1:], len(raw)), bounds[text_of + 1])
-        powers, inverse = power_tables(len(raw) + 1)
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[: len(raw)], out=sums[1:])
-        hashes = mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
-        distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+        distinct, where, back = np.unique(RunHasher(raw)(first, last), return_index=True, return_inverse=True)
+        # Pieces of one hash have to be one piece; a text with another one goes the longer way.
+        same = where[back]
+        other = differing(raw, first, last, raw, first[same], last[same])
         new = (at := self._find(distinct)) < 0
         if new.any():
             if len(self.hashes) + int(new.sum()) > MAX_PIECES:
                 self._clear()
                 new[:] = True
             pick = where[new]
-            pieces = [raw[a:b].tobytes().decode() for a, b in zip(first[pick].tolist(), last[pick].tolist())]
-            self._learn(distinct[new], pieces)
+            self._learn(distinct[new], [raw[a:b].tobytes() for a, b in zip(first[pick].tolist(), last[pick].tolist())])
             at = self._find(distinct)
             assert (at >= 0).all()
+        begin = self.begin[at]
+        other |= differing(raw, first[where], last[where], self.bytes, begin, begin + self.size[at])[back]
+        unusual[text_of[other]] = True
         counts, begins = self.count[at][back], self.first[at][back]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
