@@ -40,7 +40,7 @@ def run_to_memory(df, name, mode, checkpoint):
     return df.sparkSession.table(name)
 
 
-ROWS = [(1.0, "hi #a #b", at(m)) for m in (1, 2, 3, 4, 6)] + [(0.0, "#a Streamy", at(7)), (0.0, "none", at(8))]
+ROWS = [(1.0, "hi #a #b", at(m)) for m in (1, 2, 3, 4, 6)] + [(0.0, "#a urgent", at(7)), (0.0, "none", at(8))]
 
 
 def test_windows_hold_both_slides(spark):
@@ -73,7 +73,7 @@ def in_batches(spark, tmp_path, name, mode, batches):
         drop_lines(tmp_path / "in", f"{i}.txt", rows)
         query = (
             trend.writeStream.format("parquet" if mode == "append" else "memory").queryName(f"{name}{i}")
-            .outputMode(mode).option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"), "%Streamy%")
+            .outputMode(mode).option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
             .trigger(availableNow=True).start()
         )
         query.awaitTermination()
@@ -152,7 +152,7 @@ def test_messages_can_come_as_json_from_a_queue(spark):
 
 def test_both_reports_run_side_by_side(spark, tmp_path):
     drop_lines(tmp_path / "in", "1.txt", ROWS)
-    running = queries.start_reports(record_stream(spark, tmp_path / "in"), str(tmp_path / "cp"), "%Streamy%")
+    running = queries.start_reports(record_stream(spark, tmp_path / "in"), str(tmp_path / "cp"), "%urgent%")
     try:
         assert len(spark.streams.active) == 2
         for query in running:
@@ -167,9 +167,9 @@ def test_both_reports_run_side_by_side(spark, tmp_path):
 
 def test_the_status_report_filters_by_sql(spark, tmp_path):
     drop_lines(tmp_path / "in", "1.txt", ROWS)
-    report = queries.status_report(record_stream(spark, tmp_path / "in"), "%Streamy%")
+    report = queries.status_report(record_stream(spark, tmp_path / "in"), "%urgent%")
     got = run_to_memory(report, "status_all", "append", tmp_path / "cp").collect()
-    assert [r["status"] for r in got] == ["#a Streamy"]
+    assert [r["status"] for r in got] == ["#a urgent"]
 
 
 def test_queue_options():
@@ -182,7 +182,7 @@ def test_queue_options():
 
 def test_interval_trigger(spark, tmp_path):
     drop_lines(tmp_path / "in", "1.txt", ROWS)
-    writer = queries.file_sink(record_stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), "%Streamy%")
+    writer = queries.file_sink(record_stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"))
     query = queries.every_interval(writer).start()
     try:
         query.processAllAvailable()
@@ -220,7 +220,7 @@ def test_without_its_connector_the_queue_is_refused(spark, model, tmp_path):
         sources.queue_source(spark, "h:1", "topic")
     for start in [queries.start_hashtag_scoring, queries.start_sentiment_scoring]:
         with pytest.raises(AnalysisException, match="kafka"):
-            start(read(spark, folder), model, "h:1", "topic", str(tmp_path / "cp"), "%Streamy%")
+            start(read(spark, folder), model, "h:1", "topic", str(tmp_path / "cp"))
 
 
 def test_a_stream_cannot_be_sorted_outside_complete_mode(spark, tmp_path):
