@@ -11,8 +11,11 @@ from textloom.llm import (
     exact,
     jaccard,
     language,
+    line_quality,
     lines,
+    negatives,
     packing,
+    phrases,
     repeats,
     token_files,
     toxicity,
@@ -96,3 +99,22 @@ def op10_language_id(spark, sf_dir):
     model = language.fit_languages(documents.where(fold > 0))
     found = language.identify_languages(documents, model)
     return found.select("doc_id", (fold == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    """Anchors are the rows whose id is divisible by 50; of ids divisible by 7 the label is moved on by one."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op12_line_quality(spark, sf_dir):
+    return line_quality.line_quality(table(spark, sf_dir, "documents")).drop("cleaned")
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
