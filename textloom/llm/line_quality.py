@@ -21,8 +21,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # A longer line is read word by word.
 LONG_LINE = 1 << 20
 
-# Rules of lines. A line of PROSE_WORDS words or more has to end like a sentence, a quotation or a list head.
-PROSE_WORDS = 6
+# Rules of lines. A line of PROSE_WORDS words or more has to end like a sentence, a quotation or a list head, and
+# to hold at most one symbol for so many words.
+PROSE_WORDS, WORDS_PER_SYMBOL = 6, 5
 LINE_ENDS = (".", "!", "?", ":", ";", "…", '"', "'", "”", "’", "»", ")", "]")
 # Two separators of a menu or more, or nothing but words of a menu.
 NAVIGATION = (
@@ -34,7 +35,7 @@ BOILERPLATE = (
     r"|licensed under|released under the|powered by|subscribe to our|click here|copyright ©|copyright \(c\)|© [0-9]{4}"
 )
 # Percent of a document's words that removed lines may hold.
-MOST_LOST = 30
+MOST_LOST = 50
 
 _NAVIGATION, _BOILERPLATE = re.compile(NAVIGATION), re.compile(BOILERPLATE)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -51,10 +52,15 @@ def line_words(line: str) -> Iterable[str]:
     return (m.group() for m in WORD.finditer(line))
 
 
+def symbols(text: str) -> int:
+    return sum(map(text.count, SYMBOLS))
+
+
 def line_fails(line: str, n_words: int) -> bool:
     """Whether a line with words breaks the punctuation, the navigation or the boilerplate rule."""
-    if n_words >= PROSE_WORDS and not line.rstrip(BLANKS).endswith(LINE_ENDS):
-        return True
+    if n_words >= PROSE_WORDS:
+        if not line.rstrip(BLANKS).endswith(LINE_ENDS) or WORDS_PER_SYMBOL * symbols(line) > n_words:
+            return True
     low = line.translate(_LOWER)
     return bool(_NAVIGATION.search(low) or _BOILERPLATE.search(low))
 
@@ -122,7 +128,7 @@ def judge(text: str, most_lost: int = MOST_LOST) -> Judged:
     return Judged(
         n,
         len(text) - sum(map(text.count, BLANKS)),
-        sum(map(text.count, SYMBOLS)),
+        symbols(text),
         dup,
         repeated,
         lines,
@@ -141,7 +147,7 @@ def line_quality(docs: DataFrame, most_lost: int = MOST_LOST) -> DataFrame:
     of fewer than LEAST_WORDS words fails, and one with more than MOST_REPEATED percent of its words inside
     windows of WIDTH words that stand in it twice.
 
-    Method: first each line is judged. It is removed if it is prose without an end mark, a row of menu entries, or
+    Method: first each line is judged. It is removed if it is prose without an end mark or full of symbols, a row of menu entries, or
     a notice (rights, cookies, licence). ``cleaned`` is the text without those lines. Then a document whose removed
     lines hold more than ``most_lost`` percent of its words is rejected. Words are numbered and windows compared
     by numbers, not by hash. Every row is judged on its own and no row is shuffled.

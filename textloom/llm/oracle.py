@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from textloom.llm.chat import END, PART_TURNS, START
 from textloom.llm.common import LOWER, UPPER
-from textloom.llm.line_quality import BOILERPLATE, LINE_ENDS, MOST_LOST, NAVIGATION, PROSE_WORDS
+from textloom.llm.line_quality import BOILERPLATE, LINE_ENDS, MOST_LOST, NAVIGATION, PROSE_WORDS, WORDS_PER_SYMBOL
 from textloom.llm.lines import MIN_CHARS
 
 
@@ -142,7 +142,8 @@ judged AS (
   SELECT *, translate(line, '{UPPER}', '{LOWER}') AS low, right(rtrim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 1) AS mark
   FROM lines WHERE n > 0),
 failing AS (
-  SELECT *, n >= {PROSE_WORDS} AND mark NOT IN ({', '.join("'" + mark.replace("'", "''") + "'" for mark in LINE_ENDS)})
+  SELECT *, n >= {PROSE_WORDS} AND {WORDS_PER_SYMBOL} * length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) > n
+    OR n >= {PROSE_WORDS} AND mark NOT IN ({', '.join("'" + mark.replace("'", "''") + "'" for mark in LINE_ENDS)})
     OR regexp_matches(low, '{NAVIGATION}') OR regexp_matches(low, '{BOILERPLATE}') AS fails FROM judged),
 of_lines AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE copy > 1) AS n_dup_lines, count(*) FILTER (WHERE fails) AS n_failed_lines,
