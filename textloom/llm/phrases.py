@@ -17,7 +17,7 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 UNKNOWN = "und"
 # Occurrences of first words that one round expands. A round holds about BATCH / LEAST first words at most, and
 # so many prefixes of each length, which bounds what is broadcast.
-BATCH = 1 << 24
+BATCH = 1 << 25
 # Bits of a filter over phrases: 8 for each phrase and at least 2^16. A round of BATCH stays far below the most.
 LEAST_BITS, MOST_BITS = 16, 27
 # So many languages are named in a filter of rows; more are told apart by the phrases alone.
@@ -75,7 +75,7 @@ class Slab:
         return words[0] if size == 1 else pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()))
 
 
-def equal_side(slab: Slab, at: np.ndarray, group: np.ndarray, order: np.ndarray, starts: np.ndarray, step: int) -> pa.Array:
+def equal_side(slab: Slab, at: np.ndarray, order: np.ndarray, starts: np.ndarray, step: int) -> pa.Array:
     """Per group of windows the word ``step`` words on, where all of them have the same one in their piece; else null."""
     beside = at + step
     edge = np.clip(beside, 0, len(slab.hashes) - 1)
@@ -87,19 +87,22 @@ def equal_side(slab: Slab, at: np.ndarray, group: np.ndarray, order: np.ndarray,
     return words.take(pa.array(np.arange(len(starts)), pa.int64(), mask=~same))
 
 
-COUNTED = "lang string, size int, phrase string, n long, left string, right string"
+COUNTED, SIDES = "lang string, size int, phrase string, n long", ", left string, right string"
 
 
-def count_windows(docs: DataFrame, sizes: Sequence[int], admitted: np.ndarray | None = None, prefix: int = 0) -> DataFrame:
-    """``lang, size, phrase, n, left, right``: windows of some sizes, combined inside slabs of text.
+def count_windows(
+    docs: DataFrame, sizes: Sequence[int], admitted: np.ndarray | None = None, prefix: int = 0, sides: bool = False
+) -> DataFrame:
+    """``lang, size, phrase, n``, with ``sides`` also ``left, right``: windows of some sizes, combined inside slabs of text.
 
     Only windows whose first ``prefix`` words, or with 0 all of whose words, are in the filter ``admitted`` are
     counted. ``left`` and ``right`` name the neighbouring word where all windows of a row have the same.
     """
+    schema = COUNTED + SIDES if sides else COUNTED
     shared = None if admitted is None else docs.sparkSession.sparkContext.broadcast(admitted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in COUNTED.split(", ")]
+        names = [f.split()[0] for f in schema.split(", ")]
         for batch in batches:
             langs, keys = language_keys(batch.column(0))
             lang_array = np.array(langs, object)
@@ -114,23 +117,23 @@ def count_windows(docs: DataFrame, sizes: Sequence[int], admitted: np.ndarray |
                         at = at[admits(shared.value, slab.phrase_keys(at, prefix or size))]
                     if not len(at):
                         continue
-                    _, group, n = np.unique(slab.phrase_keys(at, size), return_inverse=True, return_counts=True)
-                    order = np.argsort(group, kind="stable")
-                    starts = np.cumsum(n) - n
+                    keys_at = slab.phrase_keys(at, size)
+                    order = np.argsort(keys_at, kind="stable")
+                    ordered = keys_at[order]
+                    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+                    n = np.diff(np.append(starts, len(ordered)))
                     one = at[order[starts]]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(lang_array[a + slab.text[one]], pa.string()),
-                            pa.array(np.full(len(one), size, np.int32)),
-                            slab.phrases(one, size).cast(pa.string()),
-                            pa.array(n.astype(np.int64)),
-                            equal_side(slab, at, group, order, starts, -1).cast(pa.string()),
-                            equal_side(slab, at, group, order, starts, size).cast(pa.string()),
-                        ],
-                        names=names,
-                    )
+                    columns = [
+                        pa.array(lang_array[a + slab.text[one]], pa.string()),
+                        pa.array(np.full(len(one), size, np.int32)),
+                        slab.phrases(one, size).cast(pa.string()),
+                        pa.array(n.astype(np.int64)),
+                    ]
+                    if sides:
+                        columns += [equal_side(slab, at, order, starts, step).cast(pa.string()) for step in (-1, size)]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return in_batches(docs.select("lang", "text"), count, COUNTED)
+    return in_batches(docs.select("lang", "text"), count, schema)
 
 
 def admits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -255,7 +258,7 @@ def scored(docs: DataFrame, candidates: DataFrame, frequent: DataFrame, totals:
     )
     parts = cuts.select("lang", F.col("right_part").alias("phrase")).where(F.contains("phrase", F.lit(" ")))
     needed = stored(candidates.select("lang", "phrase").union(parts).distinct(), "needed")
-    rows = summed(count_windows(docs, list(range(2, longest + 1)), phrase_filter(needed)))
+    rows = summed(count_windows(docs, list(range(2, longest + 1)), phrase_filter(needed), sides=True))
     counts = stored(rows.join(needed, ["lang", "phrase"], "left_semi"), "counts")
     known = counts.select("lang", "phrase", "f").union(frequent.select("lang", "phrase", "f"))
     open_ones = counts.where((F.col("size") < longest) & F.col("dominated")).select("lang", "phrase")
