@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import fold
+from textloom.session import stored
 
 # A chunk ends at the first blank after a vowel or a sentence end past the least length, at the latest
 # at the greatest length.
@@ -43,12 +44,13 @@ def verified_chunks(chunks: DataFrame) -> DataFrame:
 
 
 def recipes(docs: DataFrame, least: int = MIN_CHUNK, most: int = MAX_CHUNK) -> DataFrame:
-    """``doc_id, text_sha256, recipe``: the ordered chunk names of each document."""
+    """``doc_id, text_sha256, recipe, copies``: the ordered chunk names of each document, and the rows that hold it."""
     chunks = chunk_texts(docs, least, most)
     named = chunks.drop("chunk").join(verified_chunks(chunks), "chunk_sha256", "left")
     step = F.when(F.col("place").isNotNull(), F.struct("pos", "place"))
     return named.groupBy("doc_id", "text_sha256").agg(
-        F.transform(F.sort_array(F.collect_set(step)), lambda x: x["place"]).alias("recipe")
+        F.transform(F.sort_array(F.collect_set(step)), lambda x: x["place"]).alias("recipe"),
+        F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("copies"),
     )
 
 
@@ -60,25 +62,32 @@ def exact_duplicates(docs: DataFrame, least: int = MIN_CHUNK, most: int = MAX_CH
     chunks. A chunk's text is moved once to give it a name; after that only names move, so a long
     document costs a few bytes per chunk.
 
-    Edge cases: rows that agree in ``doc_id`` and text are one document; rows of one ``doc_id`` with
-    different texts are several. A null ``doc_id`` stays only if its group has no other. All empty
+    Edge cases: rows that agree in ``doc_id`` and text are counted and returned one by one; rows of one ``doc_id``
+    with different texts are several documents. A null ``doc_id`` stays only if its group has no other. All empty
     texts are one group. An empty table gives no rows; other columns are ignored.
     """
     own = recipes(docs, least, most).withColumn("recipe_hash", F.xxhash64("recipe"))
-    groups = own.groupBy("recipe_hash", "recipe").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
-    )
-    return own.join(groups, ["recipe_hash", "recipe"]).select(
+    groups = own.groupBy("recipe_hash", "recipe").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    rows = own.join(groups, ["recipe_hash", "recipe"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return rows.select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns, one for each document kept."""
-    kept = exact_duplicates(docs).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_text")
-    )
-    rows = docs.withColumn("_text", F.sha2(fold(F.col("text")), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_text") == F.col("_kept_text"))
-    joined = rows.join(kept, same, "left_semi")
-    return joined.dropDuplicates(["doc_id", "_text"]).drop("_text")
+    """The rows of ``docs`` that stay, with all their columns, one for each document kept.
+
+    Rows that agree in ``doc_id`` and text but not in other columns are one document; any one of them stays. Whole rows
+    are shuffled once, by the join; only documents that several rows hold are shuffled again.
+    """
+    kept = exact_duplicates(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("_copies"))
+    kept = stored(kept.toDF("_kept_id", "_kept_text", "_copies"), "kept")
+    digest = F.sha2(fold(docs["text"]), 256)
+    same = docs["doc_id"].eqNullSafe(kept["_kept_id"]) & (digest == kept["_kept_text"])
+    single = docs.join(kept.where(kept["_copies"] == 1), same, "left_semi")
+    several = kept.where(kept["_copies"] > 1)
+    if several.isEmpty():
+        return single
+    row = F.struct(*(docs[c] for c in docs.columns)).alias("_row")
+    held = docs.join(several, same).select(kept["_kept_id"].alias("_id"), kept["_kept_text"].alias("_text"), row).dropDuplicates(["_id", "_text"])
+    return single.union(held.select("_row.*"))

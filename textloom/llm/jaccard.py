@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import (
@@ -29,6 +29,10 @@ WORDS, PERCENT = 5, 80
 # holds consecutive documents with so many shingles. They change which shingles stand in a prefix, never
 # which documents are linked.
 FREQUENT, FREQUENT_IN_BLOCK, BLOCK_SHINGLES = 200_000, 3, 4_000_000
+# Numbers of 64 bits that hold the parities of a set: one bit for each value of the low bits of its shingles.
+PARITIES = [f"b{i}" for i in range(16)]
+# Classes compared with one copy of a head's set.
+MEMBERS = 256
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
@@ -90,8 +94,15 @@ def set_key(values: np.ndarray) -> tuple[int, int]:
     return int(values.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(mix(values)).view(np.int64))
 
 
+def parities(values: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles has each value of the low bits, packed."""
+    size = 64 * len(PARITIES)
+    odd = np.bincount((values & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def set_prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id, n, s1, s2, p1, p2, rare, often`` of each row: set size, set key, prefix key and prefix.
+    """``doc_id, text_hash, n, s1, s2, p1, p2, rare, often`` and parities of each row: set size, set key, prefix key, prefix.
 
     ``often`` holds the shingles of the prefix that are among the most frequent ones of the corpus.
     """
@@ -101,9 +112,10 @@ def set_prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, counts = shared.value
         for batch in batches:
-            n, keys, heads, tails = [], [], [], []
-            for values in shingle_sets(*arrow_text(batch.column(1)), words):
+            n, keys, heads, tails, odd = [], [], [], [], []
+            for values in shingle_sets(*arrow_text(batch.column("text")), words):
                 n.append(len(values))
+                odd.append(parities(values))
                 keys.append(set_key(values))
                 length = prefix_length(len(values), percent)
                 often = values[:0]
@@ -116,28 +128,39 @@ def set_prefixes(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 heads.append(values[:length].view(np.int64))
                 tails.append(often[: max(0, length - len(values))].view(np.int64))
             head_keys = [set_key(np.concatenate([h, t]).view(np.uint64)) for h, t in zip(heads, tails)]
-            columns = [batch.column(0), pa.array(n, pa.int64())]
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64())]
             columns += [pa.array([k[i] for k in keys], pa.int64()) for i in (0, 1)]
             columns += [pa.array([k[i] for k in head_keys], pa.int64()) for i in (0, 1)]
             for lists in (heads, tails):
                 sizes = np.cumsum([0, *map(len, lists)]).astype(np.int32)
                 flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
                 columns.append(pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat)))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "s1", "s2", "p1", "p2", "rare", "often"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n long, s1 long, s2 long, p1 long, p2 long, rare array<long>, often array<long>"
+            bits = np.array(odd, np.int64).reshape(-1, len(PARITIES))
+            columns += [pa.array(bits[:, i]) for i in range(len(PARITIES))]
+            names = ["doc_id", "text_hash", "n", "s1", "s2", "p1", "p2", "rare", "often", *PARITIES]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    schema = "doc_id long, text_hash long, n long, s1 long, s2 long, p1 long, p2 long, rare array<long>, often array<long>, "
+    schema += ", ".join(f"{b} long" for b in PARITIES)
     return stored(in_batches(rows, prefixes, schema), "prefixes")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The ``a, b`` of pairs whose whole shingle sets are similar enough, stored.
 
-    ``pairs`` holds ``a, sa, b, sb``: two documents and the first key of their sets. Sets are computed again from
-    the texts of the documents asked for; only these move.
+    ``pairs`` holds ``a, da, sa, b, db, sb``: two classes, and a document and the first set key of each. Sets are computed again
+    from the texts of the documents asked for. The set of ``a`` is sent once for MEMBERS sets it is compared with, in a
+    stream sorted so that it comes before them; a class of any number of partners is spread over many tasks.
     """
-    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-    shared = docs.sparkSession.sparkContext.broadcast(id_filter(wanted, "cid"))
+    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c"))
+    parts = F.expr(f"cast(c div {MEMBERS} + 1 as int)")
+    asked = pairs.join(counts, "a").withColumn("part", F.pmod(F.xxhash64("b"), parts).cast("int"))
+    asked = stored(asked.select("a", "da", "sa", "b", "db", "sb", "part"), "asked")
+    heads = asked.select("a", "part", F.lit(0).alias("role"), F.col("a").alias("b"), F.col("da").alias("doc_id"), F.col("sa").alias("s1"))
+    members = asked.select("a", "part", F.lit(1).alias("role"), "b", F.col("db").alias("doc_id"), F.col("sb").alias("s1"))
+    requests = heads.distinct().union(members)
+    shared = docs.sparkSession.sparkContext.broadcast(id_filter(requests, "doc_id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -148,28 +171,33 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
                 keys.append(set_key(own)[0])
                 values.append(own.tobytes())
             columns = [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(values, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["cid", "s1", "shingles"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "s1", "shingles"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     rows = rows.withColumn("slot", id_slot(F.col("doc_id")))
-    found = stored(in_batches(rows, sets, "cid long, s1 long, shingles binary"), "sets")
+    found = in_batches(rows, sets, "doc_id long, s1 long, shingles binary")
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, of = np.zeros(0, np.uint64), None
         for batch in batches:
+            places = zip(*(batch.column(c).to_pylist() for c in ("a", "part", "role")))
             keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
+            for (a, part, role), own in zip(places, batch.column("shingles")):
+                y = np.frombuffer(own.as_buffer(), np.uint64)
+                if role == 0:
+                    head, of = y.copy(), (a, part)
+                if role == 0 or of != (a, part):
+                    keep.append(False)
+                    continue
+                x, y = (head, y) if len(head) <= len(y) else (y, head)
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 both = int((y[at] == x).sum())
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = found.toDF("a", "sa", "x")
-    right = found.toDF("b", "sb", "y")
-    both = pairs.join(left, ["a", "sa"]).join(right, ["b", "sb"]).select("a", "b", "x", "y")
-    return stored(in_batches(both, similar, "a long, b long").distinct(), "links")
+    sent = requests.join(found, ["doc_id", "s1"]).select("a", "part", "role", "b", "shingles")
+    sent = sent.repartition("a", "part").sortWithinPartitions("a", "part", "role")
+    return stored(in_batches(sent, similar, "a long, b long").distinct(), "links")
 
 
 def prefix_size(n: str, percent: int) -> F.Column:
@@ -199,109 +227,134 @@ def may_start(percent: int) -> F.Column:
     return enough & (100 * F.least("x", "y") >= percent * F.greatest("x", "y"))
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document.
+def may_be_close(percent: int) -> F.Column:
+    """Whether sets of ``x`` and ``y`` shingles with the parities ``a_b0...`` and ``b_b0...`` can be similar enough.
 
-    Words stand between blanks (ASCII), A-Z in lower case. A document's set holds its distinct runs of
-    ``words`` words; one with fewer words has its whole sequence. Two documents link if their
-    intersection holds at least ``percent`` hundredths of their union. ``component_id`` is the smallest
-    ``doc_id`` reachable by links.
+    Two parities differ only where a shingle of one set alone has those low bits, so their number is at most
+    the number of shingles that the sets do not share.
+    """
+    unlike = sum((F.bit_count(F.col(f"a_{b}").bitwiseXOR(F.col(f"b_{b}"))) for b in PARITIES), F.lit(0))
+    return unlike * (100 + percent) <= (100 - percent) * (F.col("x") + F.col("y"))
 
-    Method: documents of equal sets are one class, classes of equal size and equal prefix one group.
-    Prefixes follow one order of all shingles, rare ones first, so that linked sets share a shingle of
-    their prefixes. First every group is compared with the smallest group of each of its prefix
-    shingles, and every class with its group's; that is linear however large a bucket is. Links make
-    components. Then, in buckets that still hold several components, the classes outside the bucket's
-    largest component are paired with the classes of other components, and pairs that share enough of
-    their prefixes are compared. Pairs inside a component need no comparison, so no link that joins
-    components is lost. Whole sets are compared, shingles by 64-bit hash.
 
-    Edge cases: a null, empty or blank text has no shingles, ``n_shingles`` 0 and its own ``doc_id``;
-    repeated rows give repeated results; rows without ``doc_id`` are left out of the links and keep a null
-    component unless a document of the same set names one; an empty table gives no rows; other columns
-    are ignored.
-    """
-    own = set_prefixes(docs, words, percent)
+def side(frame: DataFrame, name: str, size: str) -> DataFrame:
+    """Class columns of ``frame`` under the names of one side of a pair; other columns stay."""
+    names = {"cid": name, "doc": f"d{name}", "s1": f"s{name}", "n": size} | {b: f"{name}_{b}" for b in PARITIES}
+    return frame.withColumnsRenamed(names)
+
+
+PAIR = ["a", "da", "sa", "b", "db", "sb"]
+
+
+def class_components(own: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``s1, s2, n, doc, component`` of each class of equal sets; the method is described at ``near_duplicates``."""
     keys = own.where("n > 0 and doc_id is not null").drop("rare", "often")
-    # The prefix is a function of the set, so any row of a class has its key.
+    # Prefix and parities are a function of the set, so any row of a class has them.
     classes = keys.groupBy("s1", "s2", "n").agg(
-        F.min("doc_id").alias("cid"), F.min("p1").alias("p1"), F.min("p2").alias("p2")
+        F.min("doc_id").alias("doc"), *(F.min(c).alias(c) for c in ("p1", "p2", *PARITIES))
     )
-    classes = stored(classes, "classes")
+    classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     groups = classes.groupBy("n", "p1", "p2").agg(F.min("cid").alias("gid"))
-    member = stored(classes.join(groups, ["n", "p1", "p2"]).select("cid", "s1", "s2", "n", "gid"), "members")
+    member = stored(classes.join(groups, ["n", "p1", "p2"]).drop("p1", "p2"), "members")
 
-    heads = member.where("cid = gid").select(F.col("gid").alias("doc_id"), "s1")
-    prefixes = own.select("doc_id", "s1", "rare", "often").join(heads, ["doc_id", "s1"], "left_semi")
-    rare = prefixes.select(F.col("doc_id").alias("gid"), F.posexplode("rare").alias("at", "token"))
-    often = prefixes.where(F.size("often") > 0).select(
-        F.col("doc_id").alias("gid"), F.size("rare").alias("before"), F.posexplode("often").alias("at", "token")
-    )
+    heads = member.where("cid = gid").select("gid", F.col("doc").alias("doc_id"), "s1", "s2", "n")
+    prefixes = own.select("doc_id", "s1", "s2", "n", "rare", "often").join(heads, ["doc_id", "s1", "s2", "n"])
+    rare = prefixes.select("gid", F.posexplode("rare").alias("at", "token"))
+    often = prefixes.where(F.size("often") > 0).select("gid", F.size("rare").alias("before"), F.posexplode("often").alias("at", "token"))
     often = often.withColumn("at", F.col("at") + F.col("before")).drop("before")
-    # Rare shingles have few rows each and are shuffled once. A frequent one may fill many rows: it is
-    # combined before the shuffle, and the join can split it.
-    bucket = Window.partitionBy("token")
-    shared = rare.withColumn("low", F.min("gid").over(bucket)).withColumn("high", F.max("gid").over(bucket))
-    lows = often.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high")).where("low <> high")
-    buckets = shared.where("low <> high").select("token", "gid", "at", "low").union(
-        often.join(lows, "token").select("token", "gid", "at", "low")
-    )
-    buckets = stored(buckets, "buckets")
 
-    sizes = member.where("cid = gid").select("cid", "s1", "n")
+    # A bucket's smallest and greatest group are found with map-side combining; the join back can split a large bucket.
+    def open_buckets(rows: DataFrame) -> DataFrame:
+        lows = rows.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high")).where("low <> high")
+        return rows.join(lows, "token").select("token", "gid", "at", "low")
+
+    buckets = stored(open_buckets(rare).union(open_buckets(often)), "buckets")
+
+    plain = member.select("cid", "doc", "s1", "n", *PARITIES)
     star = buckets.where("gid <> low").groupBy(F.col("low").alias("a"), F.col("gid").alias("b"))
     star = star.agg(F.count(F.lit(1)).alias("common"))
-    star = star.join(sizes.toDF("a", "sa", "x"), "a").join(sizes.toDF("b", "sb", "y"), "b").where(may_link(percent))
-    inside = member.where("cid <> gid").select("gid", F.col("cid").alias("b"), F.col("s1").alias("sb"))
-    inside = inside.join(sizes.select(F.col("cid").alias("gid"), F.col("s1").alias("sa")), "gid")
-    tried = star.select("a", "sa", "b", "sb").union(inside.select(F.col("gid").alias("a"), "sa", "b", "sb"))
-    tried = stored(tried, "tried")
+    star = star.join(side(plain, "a", "x"), "a").join(side(plain, "b", "y"), "b")
+    star = star.where(may_link(percent) & may_be_close(percent)).select(PAIR)
+    inside = side(member.where("cid <> gid").drop("s2"), "b", "y").withColumnRenamed("gid", "a").join(side(plain, "a", "x"), "a")
+    tried = stored(star.union(inside.where(may_be_close(percent)).select(PAIR)), "tried")
     links = verified(docs, tried, words, percent)
 
     comps = components(links)
-    placed = member.join(comps.withColumnRenamed("id", "cid"), "cid", "left")
+    placed = member.join(comps.withColumnRenamed("id", "cid"), "cid", "left").drop("s2")
     placed = stored(placed.withColumn("component", F.coalesce("component", "cid")), "placed")
 
-    columns = ["token", "at", "cid", "s1", "n", "component", "grouped"]
-    of_token = buckets.select("token", "at", "gid").join(placed, "gid").withColumn("grouped", F.lit(False))
-    of_group = placed.withColumn("token", F.xxhash64("gid", F.lit("group"))).withColumn("grouped", F.lit(True))
-    of_group = of_group.withColumn("at", F.lit(0))
+    # First only the components of a bucket's rows are counted; classes join once the open buckets are known.
+    where = placed.select("gid", "cid", "component")
+    of_token = buckets.select("token", "at", "gid").join(where, "gid").withColumn("grouped", F.lit(False))
+    of_group = where.withColumn("token", F.col("gid")).withColumn("grouped", F.lit(True)).withColumn("at", F.lit(0))
+    columns = ["token", "at", "cid", "component", "grouped"]
     rows = of_token.select(columns).union(of_group.select(columns))
     counts = rows.groupBy("token", "grouped", "component").agg(F.count(F.lit(1)).alias("c"))
     largest = counts.groupBy("token", "grouped").agg(
         F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("several")
     )
     several = largest.where("several > 1").select("token", "grouped", F.col("top.component").alias("main"))
-    open_rows = stored(rows.join(several, ["token", "grouped"]), "open")
-    out = open_rows.where("component <> main").select(
-        "token", "grouped", F.col("at").alias("i"), F.col("cid").alias("a"), F.col("s1").alias("sa"),
-        F.col("n").alias("x"), F.col("component").alias("ca"),
-    )
-    every = open_rows.select(
-        "token", "grouped", F.col("at").alias("j"), F.col("cid").alias("b"), F.col("s1").alias("sb"),
-        F.col("n").alias("y"), F.col("component").alias("cb"), "main",
-    )
+    open_rows = stored(rows.join(several, ["token", "grouped"]).join(plain, "cid"), "open")
+    out = side(open_rows.where("component <> main").drop("main"), "a", "x").withColumnsRenamed({"at": "i", "component": "ca"})
+    every = side(open_rows, "b", "y").withColumnsRenamed({"at": "j", "component": "cb"})
     # Of two classes outside the largest component the pair is met from the smaller one only.
     once = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-    rest = out.join(every, ["token", "grouped"]).where(once & may_start(percent))
-    rest = rest.select("a", "sa", "b", "sb").distinct()
-    done = tried.select("a", "sa", "b", "sb").union(tried.select("b", "sb", "a", "sa"))
-    rest = stored(rest.join(done, ["a", "sa", "b", "sb"], "left_anti"), "rest")
+    rest = out.join(every, ["token", "grouped"]).where(once & may_start(percent) & may_be_close(percent))
+    rest = rest.select(PAIR).distinct()
+    done = tried.select("a", "b").union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest = stored(rest.join(done, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = verified(docs, rest, words, percent)
         if not more.isEmpty():
             comps = components(links.union(more))
-    final = member.join(comps.withColumnRenamed("id", "cid"), "cid", "left").select(
-        "s1", "s2", "n", F.coalesce("component", "cid").alias("component")
-    )
+    joined = member.join(comps.withColumnRenamed("id", "cid"), "cid", "left")
+    return joined.select("s1", "s2", "n", "doc", F.coalesce("component", "cid").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document.
+
+    Words stand between blanks (ASCII), A-Z in lower case. A document's set holds its distinct runs of
+    ``words`` words; one with fewer words has its whole sequence. Two documents link if their
+    intersection holds at least ``percent`` hundredths of their union. ``component_id`` is the smallest
+    ``doc_id`` reachable by links.
+
+    Method: documents of equal sets are one class, classes of equal size and equal prefix one group.
+    Prefixes follow one order of all shingles, rare ones first, so that linked sets share a shingle of
+    their prefixes. First every group is compared with the smallest group of each of its prefix
+    shingles, and every class with its group's; that is linear however large a bucket is. Links make
+    components. Then, in buckets that still hold several components, the classes outside the bucket's
+    largest component are paired with the classes of other components, and pairs that share enough of
+    their prefixes are compared. Pairs inside a component need no comparison, so no link that joins
+    components is lost. Before whole sets move, parities of their shingles rule out pairs that cannot link.
+    Whole sets are compared, shingles by 64-bit hash of words that are hashed modulo a prime.
+
+    Edge cases: a null, empty or blank text has no shingles, ``n_shingles`` 0 and its own ``doc_id``;
+    repeated rows give repeated results; rows of one ``doc_id`` with different texts are
+    documents of their own; rows without ``doc_id`` are left out of the links and keep a null
+    component unless a document of the same set names one; an empty table gives no rows; other columns
+    are ignored.
+    """
+    own = set_prefixes(docs, words, percent)
+    classes = class_components(own, docs, words, percent)
+    named = classes.groupBy("component").agg(F.min("doc").alias("component_id"))
+    final = classes.join(named, "component").select("s1", "s2", "n", "component_id")
     return own.join(final, ["s1", "s2", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` names its component, and rows without ``doc_id``."""
-    kept = near_duplicates(docs, words, percent).where(F.col("doc_id") == F.col("component_id"))
-    kept = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept_id"), "left_semi")
-    return named.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near copies, with all its columns: that of the smallest ``doc_id``, then set key.
+
+    Documents of one ``doc_id`` and different texts are told apart by their texts. Documents without shingles or without
+    ``doc_id`` are in no group and stay; rows that agree in ``doc_id`` and text stay together.
+    """
+    own = set_prefixes(docs, words, percent)
+    classes = class_components(own, docs, words, percent)
+    first = classes.groupBy("component").agg(F.min(F.struct("doc", "s1", "s2", "n")).alias("first")).select("first.*")
+    kept = own.join(first, ["s1", "s2", "n"]).where(F.col("doc_id") == F.col("doc"))
+    kept = kept.select("doc_id", "text_hash")
+    kept = kept.union(own.where("n = 0 and doc_id is not null").select("doc_id", "text_hash")).toDF("_kept_id", "_kept_text")
+    same = (docs["doc_id"] == kept["_kept_id"]) & (F.xxhash64(docs["text"]) == kept["_kept_text"])
+    return docs.join(kept, same, "left_semi").unionByName(docs.where("doc_id is null"))
