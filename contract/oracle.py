@@ -641,3 +641,59 @@ oracle(
     "analyze_text_ngrams",
     f"WITH {_STOPPED}, {_UNIGRAMS}, {counts('stem', 'stemmed')}, {VOCABULARY} {DICTIONARY}",
 )
+
+# German stems by patterns: marks, regions and the three steps of the published rules.
+oracle(
+    "stem_words_german",
+    r"""
+WITH words AS (
+    SELECT word, count(*) AS n FROM (
+        SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+')) AS word FROM documents WHERE lang = 'de')
+    GROUP BY word),
+marked AS (
+    SELECT word, n, regexp_replace(regexp_replace(replace(word, 'ß', 'ss'),
+        '([aeiouyäöü])u([aeiouyäöü])', '\1U\2', 'g'), '([aeiouyäöü])y([aeiouyäöü])', '\1Y\2', 'g') AS w
+    FROM words),
+regions AS (
+    SELECT *, CASE WHEN head = '' THEN length(w) ELSE length(head) END AS p1,
+        CASE WHEN head = '' OR tail = '' THEN length(w) ELSE length(head) + length(tail) END AS r2
+    FROM (
+        SELECT *, regexp_extract(substr(w, length(head) + 1), '^[^aeiouyäöü]*[aeiouyäöü]+[^aeiouyäöü]') AS tail
+        FROM (SELECT *, regexp_extract(w, '^[^aeiouyäöü]*[aeiouyäöü]+[^aeiouyäöü]') AS head FROM marked))),
+first AS (
+    SELECT *, greatest(p1, 3) AS r1, regexp_extract(w, '(?:ern|em|er|en|es|e|s)$') AS e FROM regions),
+one AS (
+    SELECT word, n, r1, r2, CASE
+        WHEN e = '' OR length(w) - length(e) < r1 THEN w
+        WHEN e = 's' THEN regexp_replace(w, '([bdfghklmnrt])s$', '\1')
+        WHEN e IN ('e', 'en', 'es') THEN regexp_replace(left(w, length(w) - length(e)), 'niss$', 'nis')
+        ELSE left(w, length(w) - length(e)) END AS w
+    FROM first),
+second AS (SELECT *, regexp_extract(w, '(?:est|en|er|st)$') AS e FROM one),
+two AS (
+    SELECT word, n, r1, r2, CASE
+        WHEN e = '' OR length(w) - length(e) < r1 THEN w
+        WHEN e = 'st' THEN regexp_replace(w, '^(.{3,}[bdfghklmnt])st$', '\1')
+        ELSE left(w, length(w) - length(e)) END AS w
+    FROM second),
+third AS (SELECT *, regexp_extract(w, '(?:isch|lich|heit|keit|end|ung|ig|ik)$') AS d FROM two),
+three AS (
+    SELECT word, n, r1, r2, d, CASE
+        WHEN d = '' OR length(w) - length(d) < r2 THEN NULL
+        WHEN d IN ('ig', 'ik', 'isch') AND w LIKE '%e' || d THEN NULL
+        ELSE left(w, length(w) - length(d)) END AS left_part, w
+    FROM third),
+four AS (
+    SELECT word, n, CASE
+        WHEN left_part IS NULL THEN w
+        WHEN d IN ('end', 'ung') AND left_part LIKE '%ig' AND left_part NOT LIKE '%eig' AND length(left_part) - 2 >= r2
+            THEN left(left_part, length(left_part) - 2)
+        WHEN d IN ('lich', 'heit') AND (left_part LIKE '%er' OR left_part LIKE '%en') AND length(left_part) - 2 >= r1
+            THEN left(left_part, length(left_part) - 2)
+        WHEN d = 'keit' AND left_part LIKE '%lich' THEN
+            CASE WHEN length(left_part) - 4 >= r2 THEN left(left_part, length(left_part) - 4) ELSE left_part END
+        WHEN d = 'keit' AND left_part LIKE '%ig' AND length(left_part) - 2 >= r2 THEN left(left_part, length(left_part) - 2)
+        ELSE left_part END AS stem
+    FROM three)
+SELECT 'de' AS lang, word, translate(stem, 'UYäöü', 'uyaou') AS stem, n FROM four""",
+)

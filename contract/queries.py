@@ -510,6 +510,18 @@ def stem_words_table(spark, sf_dir):
     return tokens.stem_words(words, "french", given).select("doc_id", "word", "stem")
 
 
+@query
+def stem_words_languages(spark, sf_dir):
+    """Every word of the four languages with the stem by the rules of its language."""
+    return tokens.stems_by_language(documents(spark, sf_dir, "lang"))
+
+
+@query
+def stem_words_german(spark, sf_dir):
+    """The German words among them; SQL follows the same published rules by patterns."""
+    return tokens.stems_by_language(documents(spark, sf_dir, "lang").where("lang = 'de'"))
+
+
 @query
 def doc_stems(spark, sf_dir):
     return tokens.doc_stems(documents(spark, sf_dir), tx.default_stop_words(), bigrams=True)

@@ -1,5 +1,6 @@
 import pytest
 
+from textloom.functions.snowball import french, german, spanish
 from textloom.functions.stemmer import porter2
 from textloom.operators import tokens
 
@@ -35,10 +36,49 @@ def test_rows_get_the_stem_of_their_word(spark):
     assert got == [("running", 1, "run"), ("runs", 1, "run"), ("runs", 2, "run"), ("x", 2, "x")]
 
 
-def test_other_languages_need_a_table(spark):
+GERMAN = (
+    "aufeinander aufeinand|kategorie kategori|kategorien kategori|kater kat|katers kat|häuser haus|häusern haus|hauses haus"
+    "|straße strass|kenntnisse kenntnis|größten grosst|bayern bay|freundlichkeit freundlich|einigung einig|möglichkeiten moglich"
+    "|politisch polit|kindheit kindheit|schönheit schonheit|beleidigung beleid|wichtig wichtig|feuer feu|läuft lauft"
+)
+FRENCH = (
+    "continu continu|continua continu|continuait continu|continuant continu|continuation continu|continue continu"
+    "|continuel continuel|continuelle continuel|continuellement continuel|majestueusement majestu|majestueux majestu"
+    "|majorité major|malade malad|malheureusement malheur|malheureux malheur|maisons maison|chevaux cheval|eaux eau"
+    "|activité activ|rapidement rapid|constamment const|évidemment évident|logique logiqu|finissait fin|nation nation|lumière lumi"
+    "|parlerions parl|mangeait mang|premier premi|ancienne ancien|solution solut|différence différent"
+)
+SPANISH = (
+    "chicana chican|chicano chican|chicas chic|chicharrones chicharron|chico chic|torá tor|tórax torax|toreado tor"
+    "|toreándolo tor|toreros torer|tormentas torment|tornado torn|torneos torne|torpeza torpez|torres torr"
+    "|rápidamente rapid|felicidad felic|nacionalidades nacional|biología biolog|solución solucion|revolución revolu|presencia presenci"
+    "|siguen sig|pague pag|huyendo huyend|construyendo constru|cantándoselo cant|cantaríamos cant|nación nacion|activos activ"
+)
+
+
+@pytest.mark.parametrize("rule, pairs", [(german, GERMAN), (french, FRENCH), (spanish, SPANISH)])
+def test_other_languages_by_rule(rule, pairs):
+    wrong = [(w, rule(w), s) for w, s in (pair.split() for pair in pairs.split("|")) if rule(w) != s]
+    assert not wrong
+    assert rule("") == "" and [rule(w) for w in ("a", "123", "qu")] == ["a", "123", "qu"]
+
+
+def test_rows_of_every_language(spark):
+    rows = [(1, "de", "Häuser, häuser"), (2, "fr", "chevaux été"), (3, "es", "chicas"), (4, "en", "running"), (5, "it", "case"), (6, None, "case")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = {(r["lang"], r["word"]): (r["stem"], r["n"]) for r in tokens.stems_by_language(docs).collect()}
+    assert got == {
+        ("de", "häuser"): ("haus", 2), ("fr", "chevaux"): ("cheval", 1), ("fr", "été"): ("été", 1), ("es", "chicas"): ("chic", 1),
+        ("en", "running"): ("run", 1), ("it", "case"): ("case", 1), (None, "case"): ("case", 1),
+    }
+    words = spark.createDataFrame([("chicas", 1)], "word string, doc_id long")
+    assert [r["stem"] for r in tokens.stem_words(words, "spanish").collect()] == ["chic"]
+
+
+def test_languages_without_rules_need_a_table(spark):
     rows = spark.createDataFrame([("chats", 1), ("le", 1)], "word string, doc_id long")
-    with pytest.raises(ValueError, match="french"):
-        tokens.stem_words(rows, "french")
+    with pytest.raises(ValueError, match="latin"):
+        tokens.stem_words(rows, "latin")
     table = spark.createDataFrame([("chats", "chat"), ("chats", "chatt"), ("autre", "autr")], "word string, stem string")
     got = {r["word"]: r["stem"] for r in tokens.stem_words(rows, "french", table).collect()}
     assert got == {"chats": "chat", "le": "le"}

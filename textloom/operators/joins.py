@@ -1,4 +1,4 @@
-"""Joins of corpus-sized rows with a lookup table."""
+"""Joins of corpus-sized rows with a lookup table of distinct keys."""
 
 from __future__ import annotations
 
@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.session import stored
+
 # A lookup up to this size is copied to every executor; beyond it both sides are shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Copies of a large lookup, so that the rows of one hot key go to this many tasks.
-SALT_BUCKETS = 16
+# A key is hot if it holds more than one row in so many; at most as many keys can be.
+HOT_SHARE = 1000
 
 
 def lookup_bytes(lookup: DataFrame) -> int:
@@ -40,15 +42,19 @@ def lookup_join(
 ) -> DataFrame:
     """Join with a lookup that is cheap to read, such as a stored table or literal rows.
 
-    The lookup is measured first. A small one is broadcast, so ``rows`` never move. A larger one is
-    copied once per salt and joined by shuffle on key and salt: the salt is a hash of the row's columns
-    (maps, which have no hash, left out), so a key holding a third of all rows still spreads over all salts.
+    The lookup is measured first. A small one is broadcast, so ``rows`` never move. Beyond that the keys of ``rows``
+    are counted, with map-side combining. Rows of hot keys, of which there are at most HOT_SHARE, stay where they are
+    and meet a broadcast of just the lookup rows of these keys; all other rows are shuffled by key once.
+    ``rows`` is read twice then, so it should be cheap to read as well or stored. Lookup keys are distinct.
     """
     on = [on] if isinstance(on, str) else list(on)
     if lookup_bytes(lookup) <= max_bytes:
         return rows.join(F.broadcast(lookup), on, how)
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(SALT_BUCKETS - 1).cast("long"))
-    salted_lookup = lookup.withColumn("_salt", F.explode(salts))
-    hashed = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(SALT_BUCKETS)))
-    return salted_rows.join(salted_lookup, [*on, "_salt"], how).drop("_salt")
+    counts = stored(rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    hot = counts.where(F.col("_n") * HOT_SHARE > total).drop("_n").na.drop()
+    if hot.isEmpty():
+        return rows.join(lookup, on, how)
+    hot = F.broadcast(stored(hot, "hot-keys"))
+    at_hand = rows.join(hot, on, "left_semi").join(F.broadcast(lookup.join(hot, on, "left_semi")), on, how)
+    return at_hand.unionByName(rows.join(hot, on, "left_anti").join(lookup, on, how))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.stemmer import english_stem
+from textloom.functions.stems import LANGUAGES, language_stem
 from textloom.functions.text import (
     WORD_GAPS,
     ngrams,
@@ -22,6 +22,7 @@ from textloom.operators.joins import lookup_join
 from textloom.session import stored
 
 ENGLISH = "english"
+LETTERS = r"[\p{L}\p{M}\p{N}_]+"
 
 
 def explode_words(docs: DataFrame, words: str | Column, id_col: str = "doc_id") -> DataFrame:
@@ -97,16 +98,17 @@ def bigram_counts(
 def stem_table(words: DataFrame, language: str = ENGLISH, stems: DataFrame | None = None) -> DataFrame:
     """``word, stem, n`` of every distinct word with its number of occurrences, stored.
 
-    ``words`` holds ``word`` and, if already counted, ``n``. English words are stemmed by rule,
-    each distinct word once. Other languages need a ``word, stem`` table; a word missing from it is
-    its own stem. A stem is one word: tables with blanks in a stem are rejected.
+    ``words`` holds ``word`` and, if already counted, ``n``. English, German, French and Spanish words are
+    stemmed by rule, each distinct word once. Other languages need a ``word, stem`` table; a word missing
+    from it is its own stem. A stem is one word: tables with blanks in a stem are rejected.
     """
     n = F.sum("n") if "n" in words.columns else F.count(F.lit(1))
     distinct = words.groupBy("word").agg(n.alias("n"))
     if stems is None:
-        if language != ENGLISH:
+        if language not in LANGUAGES.values():
             raise ValueError(f"stemming {language} needs a table of word, stem")
-        return stored(distinct.withColumn("stem", english_stem("word")).select("word", "stem", "n"), "stems")
+        stem = language_stem(F.lit(language), F.col("word"))
+        return stored(distinct.withColumn("stem", stem).select("word", "stem", "n"), "stems")
     given = stems.groupBy("word").agg(F.min("stem").alias("stem"))
     joined = distinct.join(given, "word", "left")
     table = stored(joined.select("word", F.coalesce("stem", "word").alias("stem"), "n"), "stems")
@@ -123,6 +125,20 @@ def stem_words(tokens: DataFrame, language: str = ENGLISH, stems: DataFrame | No
     return lookup_join(tokens, stem_table(tokens, language, stems).select("word", "stem"), "word")
 
 
+def stems_by_language(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``lang, word, stem, n``: every distinct word of each language, its stem and its occurrences.
+
+    Words are runs of letters, marks, digits and ``_`` of any script in lower case. Each is stemmed by the rules
+    of its language, given by code (``en, de, fr, es``); in other languages a word is its own stem. Counts are
+    combined before the shuffle, so a hot word costs one row for each task.
+    """
+    words = F.regexp_extract_all(F.lower(text), F.lit(LETTERS), F.lit(0))
+    counts = docs.select(F.col(lang).alias("lang"), F.explode(words).alias("word"))
+    counts = counts.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    name = F.element_at(F.create_map(*(F.lit(x) for pair in LANGUAGES.items() for x in pair)), F.coalesce("lang", F.lit("")))
+    return counts.select("lang", "word", language_stem(name, F.col("word")).alias("stem"), "n")
+
+
 def union_stems_bigrams(stemmed: DataFrame, bigrams: DataFrame) -> DataFrame:
     """Stems and bigrams in one table, duplicates kept, columns matched by name."""
     return stemmed.unionByName(bigrams)
