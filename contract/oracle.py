@@ -121,7 +121,7 @@ TOKENS = """
             SELECT doc_id, sentence, begin, regexp_extract_all(result, '\\w+|[^\\w\\s]|\\s') AS l FROM sentences
         )
     ),
-    tokens AS (
+    tokens AS MATERIALIZED (
         SELECT doc_id, sentence, (row_number() OVER (PARTITION BY doc_id, sentence ORDER BY i) - 1)::INT AS token,
                part AS word, (base + off)::INT AS begin, (base + off + length(part) - 1)::INT AS end_
         FROM (
@@ -139,7 +139,7 @@ LEXICON = """
             FROM benchmark
         )
     ),
-    lexicon AS (
+    lexicon AS MATERIALIZED (
         SELECT DISTINCT term, tag FROM (
             SELECT word || ' ' || lead(word) OVER (PARTITION BY item_id ORDER BY pos) AS term, 'PAIR' AS tag FROM bw
             UNION ALL SELECT word, 'LONG' FROM bw WHERE length(word) >= 9
@@ -148,13 +148,13 @@ LEXICON = """
 
 LABELLED = f"""
     {SENTENCES.strip()}, {TOKENS.strip()}, {LEXICON.strip()},
-    grams AS (
+    grams AS MATERIALIZED (
         SELECT doc_id, sentence, token, 1 AS size, lower(word) AS phrase FROM tokens
         UNION ALL
         SELECT doc_id, sentence, token, 2, lower(word) || ' ' || lead(lower(word)) OVER (
             PARTITION BY doc_id, sentence ORDER BY token) FROM tokens
     ),
-    matches AS (SELECT g.*, l.tag FROM grams g JOIN lexicon l ON l.term = g.phrase),
+    matches AS MATERIALIZED (SELECT g.*, l.tag FROM grams g JOIN lexicon l ON l.term = g.phrase),
     covered AS (
         SELECT doc_id, sentence, token + k AS token, size, token AS start, tag
         FROM matches, (VALUES (0), (1)) AS t(k) WHERE k < size
@@ -697,3 +697,34 @@ four AS (
     FROM three)
 SELECT 'de' AS lang, word, translate(stem, 'UYäöü', 'uyaou') AS stem, n FROM four""",
 )
+
+# --- several batches, several streams ----------------------------------------------------------
+
+def _replayed(kept: str) -> str:
+    return f"""WITH {_TAGS} SELECT start, start + INTERVAL 10 MINUTE AS "end", hashtag, count(*) AS count, round(avg(value), 6) AS avg
+    FROM spread WHERE {kept} GROUP BY start, hashtag HAVING count(*) > 1"""
+
+
+_TAGS = """
+    bounds AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi, max(ts) AS last FROM events),
+    tags AS (
+        SELECT ts, unnest(['#' || event_type, '#u' || user_id]) AS hashtag, value,
+               event_id % 10 = 0 AND epoch_us(ts) < (SELECT lo + (hi - lo) // 4 FROM bounds) AS late
+        FROM events
+    ),
+    spread AS (
+        SELECT unnest([time_bucket(INTERVAL 5 MINUTE, ts), time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE]) AS start,
+               hashtag, value, late
+        FROM tags
+    )"""
+oracle("late_data_complete", _replayed("true"))
+oracle("late_data_append", _replayed("NOT late AND start + INTERVAL 20 MINUTE <= (SELECT last FROM bounds)"))
+oracle(
+    "multi_query",
+    f"""WITH {_TAGS}, {RECORDS.strip()},
+    trend AS (SELECT hashtag, count(*) AS n FROM spread GROUP BY start, hashtag HAVING count(*) > 1)
+    SELECT 'trend' AS report, hashtag AS item, sum(n)::BIGINT AS n FROM trend GROUP BY hashtag
+    UNION ALL SELECT 'status', status, count(*) FROM records WHERE status LIKE '%click%' GROUP BY status
+    UNION ALL SELECT 'broken', 'failed', 1""",
+)
+oracle("micro_batch_publish", "SELECT doc_id, count(*) AS published FROM documents GROUP BY doc_id")

@@ -789,3 +789,80 @@ def analyze_table_features(spark, sf_dir):
 def analyze_table_ngrams(spark, sf_dir):
     docs, stems = documents(spark, sf_dir), _cut_stems(spark, sf_dir)
     return analyze.analyze_text(docs, "c1", bigrams=True, min_df=MIN_DF, stems=stems)[1]
+
+
+# --- several batches, several streams ----------------------------------------------------------
+
+
+def _late_trend(spark, sf_dir, mode: str) -> DataFrame:
+    """The trend after three batches: early events, later ones, then early ones that come late."""
+    events = table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    late = (F.col("event_id") % 10 == 0) & (at < low + (high - low) // 4)
+    early = at < low + (high - low) // 2
+    folder, out, state = (scratch_path(spark, f"late-{mode}-{part}") for part in ("in", "out", "state"))
+    schema = None
+
+    def make(stream: DataFrame):
+        nonlocal schema
+        records = as_records(stream).withColumn("createdAt", F.col("createdAt").cast("timestamp"))
+        trend = trends.window_bounds(streams.popular_trends(records, 1))
+        schema = trend.schema
+        return streams.publish_batches(trend, out, state, mode)
+
+    streams.replay([events.where(~late & early), events.where(~late & ~early), events.where(late)], make, folder)
+    found = streams.published(spark, out, schema, latest=mode == "complete")
+    return found.withColumn("avg", F.round("avg", 6)).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+@query
+def late_data_complete(spark, sf_dir):
+    """In complete mode rows behind the watermark are counted."""
+    return _late_trend(spark, sf_dir, "complete")
+
+
+@query
+def late_data_append(spark, sf_dir):
+    """In append mode they are dropped, and only closed windows are written."""
+    return _late_trend(spark, sf_dir, "append")
+
+
+@query
+def multi_query(spark, sf_dir):
+    """Trend and status report of one source at once, beside a stream that fails."""
+    records = as_records(stream_of(spark, sf_dir, "events")).withColumn("createdAt", F.col("createdAt").cast("timestamp"))
+    trend = trends.window_bounds(streams.popular_trends(records, 1))
+    status = records.where(F.col("status").like("%click%")).select("status")
+    broken = records.select(F.raise_error(F.lit("refused")).cast("string").alias("status"))
+    out = {name: scratch_path(spark, f"multi-{name}") for name in ("trend", "status", "broken")}
+    writers = {
+        "trend": streams.publish_batches(trend, out["trend"], scratch_path(spark, "multi-state"), "complete"),
+        "status": streams.file_sink(status, out["status"], scratch_path(spark, "multi-state")),
+        "broken": streams.file_sink(broken, out["broken"], scratch_path(spark, "multi-state")),
+    }
+    ended = streams.run_together(writers)
+    hashtags = streams.published(spark, out["trend"], trend.schema, latest=True).groupBy(F.col("hashtag").alias("item"))
+    lines = spark.read.schema(status.schema).parquet(out["status"]).groupBy(F.col("status").alias("item"))
+    failed = spark.range(1).select(
+        F.lit("broken").alias("report"), F.lit("failed" if ended["broken"] else "ended").alias("item"), F.lit(1).cast("long").alias("n")
+    )
+    return (
+        hashtags.agg(F.sum("count").alias("n")).select(F.lit("trend").alias("report"), "item", "n")
+        .union(lines.agg(F.count(F.lit(1)).alias("n")).select(F.lit("status").alias("report"), "item", "n"))
+        .union(failed)
+    )
+
+
+@query
+def micro_batch_publish(spark, sf_dir):
+    """Scored documents published by a stream whose last batch runs again after its commit was lost."""
+    model = fitted(spark, sf_dir)
+    rows = stream_of(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("status"))
+    scored = sentiment.score(rows, model).select("doc_id", "prediction")
+    out, state = scratch_path(spark, "published"), scratch_path(spark, "published-state")
+    streams.until_drained(streams.publish_batches(scored, out, state))
+    commit = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/commits/0")
+    assert commit.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commit, False)
+    streams.until_drained(streams.publish_batches(scored, out, state))
+    return streams.published(spark, out, scored.schema).groupBy("doc_id").agg(F.count(F.lit(1)).alias("published"))

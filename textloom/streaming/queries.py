@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from textloom.functions.messages import scored_csv, scored_text
 from textloom.operators.filters import having_min_count, query_view, with_any_keyword, with_hashtag
@@ -82,6 +84,54 @@ def every_interval(writer: DataStreamWriter, interval: str = BATCH_INTERVAL) ->
     return writer.trigger(processingTime=interval)
 
 
+def publish_batches(df: DataFrame, path: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> DataStreamWriter:
+    """Publish each batch to a folder named by its id.
+
+    A batch that runs again after a restart, or from an older checkpoint, has the same id and replaces its folder,
+    so every message is published once. In complete mode the greatest id holds the whole result.
+    """
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+
+    return df.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).outputMode(mode)
+
+
+def published(spark: SparkSession, path: str, schema: StructType, latest: bool = False, fmt: str = "parquet") -> DataFrame:
+    """Rows of all published batches, or of the latest one only."""
+    whole = StructType([*schema.fields, StructField("batch_id", LongType())])
+    rows = spark.read.schema(whole).format(fmt).load(path)
+    if latest:
+        rows = rows.where(F.col("batch_id") == (rows.agg(F.max("batch_id")).first()[0] or 0))
+    return rows.drop("batch_id")
+
+
+def run_together(writers: Mapping[str, DataStreamWriter]) -> dict[str, str | None]:
+    """Run named queries at once until their sources are used up; the error of each, or None.
+
+    Each query has its own checkpoint. One that fails is reported and does not end the others.
+    """
+    running = {name: writer.queryName(name).trigger(availableNow=True).start() for name, writer in writers.items()}
+    ended: dict[str, str | None] = {}
+    for name, query in running.items():
+        try:
+            query.awaitTermination()
+            ended[name] = None
+        except StreamingQueryException as error:
+            ended[name] = str(error)
+    return ended
+
+
+def replay(batches: Sequence[DataFrame], make: Callable[[DataFrame], DataStreamWriter], folder: str) -> None:
+    """Feed tables of one schema to a stream, one after the other, each in a run that continues the last.
+
+    ``make`` turns the stream of the folder into a writer with a checkpoint.
+    """
+    for batch in batches:
+        batch.write.mode("append").parquet(folder)
+        until_drained(make(batch.sparkSession.readStream.schema(batch.schema).parquet(folder)))
+
+
 def until_drained(writer: DataStreamWriter) -> None:
     """Process everything the source holds now, then stop."""
     query = writer.trigger(availableNow=True).start()
