@@ -14,7 +14,7 @@ from textloom.session import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Texts are hashed in slabs of about this many bytes, which bounds the arrays a task holds.
-SLAB_BYTES = 1 << 20
+SLAB_BYTES = 1 << 19
 # Bytes of one Arrow batch between the JVM and a Python worker, where Spark would fill 64 MB.
 BATCH_BYTES = 4 << 20
 # Bits of the hash that draws a sample; few enough to be exact as a share of one.
@@ -87,13 +87,13 @@ def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def power_tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Low 32 bits and rest of the first ``n`` powers of the base, and the powers of its inverse."""
     if not _powers or len(_powers["low"]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
+        size = -(-n // (1 << 16)) << 16
         tables = []
         for base in (_BASE, pow(_BASE, -1, _PRIME)):
             powers = np.ones(1, np.uint64)
             while len(powers) < size:
                 powers = np.concatenate([powers, times(powers, np.uint64(pow(base, len(powers), _PRIME)))])
-            tables.append(powers)
+            tables.append(powers[:size].copy())
         _powers.update(low=tables[0] & np.uint64((1 << 32) - 1), high=tables[0] >> np.uint64(32), inverse=tables[1])
     return _powers["low"], _powers["high"], _powers["inverse"]
 

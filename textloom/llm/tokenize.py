@@ -7,7 +7,7 @@ import numpy as np
 from textloom.llm.common import RunHasher, slabs
 
 # Distinct pieces whose ids one Python worker keeps before it starts anew; those of one slab are kept whatever their number.
-MAX_PIECES = 1_000_000
+MAX_PIECES = 500_000
 # Pieces given to the tokenizer at once; it holds offsets and strings of each until they are copied.
 PIECES_AT_ONCE = 4096
 END_ID = 2
