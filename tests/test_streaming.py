@@ -240,3 +240,46 @@ def test_a_restarted_stream_goes_on_where_it_stopped(spark, model, tmp_path):
         queries.until_drained(queries.file_sink(queries.hashtag_lines(read(spark, folder), model), out, checkpoint, "text"))
     got = sorted(r["value"] for r in spark.read.text(out).collect())
     assert got == ['"1.0","good #again","2024-01-01 13:00:00.0"', '"1.0","happy #sun, ""good""","2024-01-01 12:00:00.0"']
+
+
+def test_a_batch_that_runs_again_is_published_once(spark, tmp_path):
+    read, folder = message_folder(tmp_path)
+    rows = read(spark, folder).select("text")
+    out, state = str(tmp_path / "out"), tmp_path / "state"
+    queries.until_drained(queries.publish_batches(rows, out, str(state)))
+    first = sorted(r["text"] for r in queries.published(spark, out, rows.schema).collect())
+    written = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out" / "batch_id=0").iterdir()}
+    for commit in (state / "commits").iterdir():
+        if commit.name.strip(".").startswith("0"):
+            commit.unlink()
+    queries.until_drained(queries.publish_batches(rows, out, str(state)))
+    assert sorted(r["text"] for r in queries.published(spark, out, rows.schema).collect()) == first and first
+    assert written != {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out" / "batch_id=0").iterdir()}
+
+
+def test_one_failing_stream_does_not_end_the_other(spark, tmp_path):
+    read, folder = message_folder(tmp_path)
+    rows = read(spark, folder).select("text")
+    broken = rows.select(F.raise_error(F.lit("refused")).cast("string").alias("text"))
+    writers = {
+        name: queries.file_sink(frame, str(tmp_path / name), str(tmp_path / f"{name}-state"))
+        for name, frame in (("broken", broken), ("sound", rows))
+    }
+    ended = queries.run_together(writers)
+    assert ended["sound"] is None and ended["broken"]
+    assert spark.read.parquet(str(tmp_path / "sound")).count() > 0
+
+
+def test_replayed_batches_continue_one_state(spark, tmp_path):
+    rows = spark.createDataFrame([(1.0, "#a", at(m)) for m in (1, 120, 2)], RECORD)
+    batches = [rows.where(F.col("createdAt") == at(m)) for m in (1, 120, 2)]
+    for mode, want in (("complete", 2), ("append", 1)):
+        out, state = str(tmp_path / mode), str(tmp_path / f"{mode}-state")
+        schema = trends.window_bounds(queries.popular_trends(rows, 0)).schema
+
+        def make(stream, mode=mode, out=out, state=state):
+            return queries.publish_batches(trends.window_bounds(queries.popular_trends(stream, 0)), out, state, mode)
+
+        queries.replay(batches, make, str(tmp_path / f"{mode}-in"))
+        got = queries.published(spark, out, schema, latest=mode == "complete")
+        assert [r["count"] for r in got.where(F.col("start") == at(0)).collect()] == [want]
