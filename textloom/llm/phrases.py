@@ -17,7 +17,7 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 UNKNOWN = "und"
 # Occurrences of first words that one round expands. A round holds about BATCH / LEAST first words at most, and
 # so many prefixes of each length, which bounds what is broadcast.
-BATCH = 1 << 25
+BATCH = 1 << 24
 # Bits of a filter over phrases: 8 for each phrase and at least 2^16. A round of BATCH stays far below the most.
 LEAST_BITS, MOST_BITS = 16, 27
 # So many languages are named in a filter of rows; more are told apart by the phrases alone.
