@@ -37,3 +37,20 @@ def test_every_oracle_has_a_query():
 
 def test_flagship(spark):
     assert contract.entry(spark).columns == ["d", "indexes", "counts", "cId"]
+
+
+@pytest.fixture(scope="module")
+def folder_tables(spark, tmp_path_factory):
+    """Documents and events as folders of several files, as larger tables come."""
+    base = str(tmp_path_factory.mktemp("folders"))
+    for name in ("documents", "events", "labels"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").repartition(3).write.parquet(f"{base}/{name}.parquet")
+    return base
+
+
+@pytest.mark.parametrize("name", ["micro_batch_publish", "micro_batch_score", "streaming_filter_query"])
+def test_streams_read_tables_that_are_folders(spark, db, folder_tables, name):
+    frame = contract.queries()[name](spark, folder_tables)
+    got = rows(frame.columns, [tuple(r) for r in frame.collect()])
+    result = db.execute(contract.oracle_sql()[name])
+    assert got == rows([d[0] for d in result.description], result.fetchall())
