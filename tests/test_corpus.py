@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from textloom.functions.stemmer import porter2
 from textloom.functions.text import default_stop_words
 from textloom.operators import corpus, filters, joins, tokens
+from textloom.plans import analyze
 from textloom.plans.analyze import analyze_text, process_documents
 from textloom.session import scratch_path
 from textloom.sources import readers, writers
@@ -299,3 +300,37 @@ def test_large_lookup_beside_a_map_column(spark):
     lookup = spark.createDataFrame([("a", "n")], "word string, tag string")
     small, large = (joins.lookup_join(rows, lookup, "word", "left", max_bytes=size).collect() for size in (1 << 20, 0))
     assert sorted(small, key=str) == sorted(large, key=str)
+
+
+def test_cut_words_are_counted_inside_the_row(spark):
+    docs = spark.createDataFrame([(1, "Notes noted no"), (2, None), (3, "note _x")], "doc_id long, text string")
+    counts = tokens.word_counts(docs, cut=4, ids_unique=True)
+    assert {tuple(r) for r in counts.collect()} == {(1, "note", 2), (1, "no", 1), (3, "note", 1), (3, "_x", 1)}
+    plan = counts._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "HashAggregate" not in plan
+
+
+def test_known_counts_spare_counting_the_keys(spark, monkeypatch):
+    labels = []
+    monkeypatch.setattr(joins, "stored", lambda df, label: labels.append(label) or df)
+    rows = spark.createDataFrame([(i, "hot" if i % 2 else f"w{i}") for i in range(50)], "doc_id long, word string")
+    lookup = spark.createDataFrame([("hot", "h"), ("w2", "x")], "word string, stem string")
+    known = rows.groupBy("word").agg(F.count(F.lit(1)).alias("_n"))
+    got = joins.lookup_join(rows, lookup, "word", "left", max_bytes=0, key_counts=known)
+    assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(lookup, "word", "left").collect()))
+    assert "key-counts" not in labels
+
+
+def test_analysis_adds_up_its_counts_once(spark, monkeypatch):
+    labels = []
+    for module in (analyze, corpus, joins):
+        keep = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, label, keep=keep: labels.append(label) or keep(df, label))
+    monkeypatch.setattr(joins, "lookup_bytes", lambda lookup: 1 << 40)
+    docs = spark.createDataFrame([(1, "big cats run"), (2, "a big cat ran"), (3, "the")], "doc_id long, text string")
+    features, ngrams = analyze.analyze_text(docs, "c1", bigrams=True, min_df=1)
+    assert labels.count("key-counts") <= 1 and labels.count("term-stats") == 1
+    by_doc = {r["d"]: (r["indexes"], r["counts"]) for r in features.collect()}
+    terms = {r["index"]: r["stem"] for r in ngrams.collect()}
+    assert {terms[i] for i in by_doc[1][0]} == {"big", "cat", "run", "big cats", "cats run"}
+    assert set(by_doc) == {1, 2}

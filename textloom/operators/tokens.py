@@ -6,15 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from textloom.functions.counting import count_batches
 from textloom.functions.stems import LANGUAGES, language_stem
 from textloom.functions.text import (
     WORD_GAPS,
     ngrams,
     remove_stopwords,
-    run_length,
-    run_word,
-    runs_of_equal,
     split_words,
     tokenize_regex,
 )
@@ -57,14 +56,25 @@ def unique_ids(docs: DataFrame, id_col: str = "doc_id") -> bool:
     return docs.groupBy(id_col).count().where(F.col("count") > 1).isEmpty()
 
 
-def _counted(docs: DataFrame, elements: Column, id_col: str, ids_unique: bool | None) -> DataFrame:
-    """``doc_id, word, n`` of an array column.
+def _counted(
+    docs: DataFrame,
+    size: int,
+    stop_words: Sequence[str],
+    text: str,
+    id_col: str,
+    ids_unique: bool | None,
+    cut: int | None = None,
+) -> DataFrame:
+    """``doc_id, word, n`` of the runs of ``size`` words left after the stop list.
 
     Each row is counted in place. Where ids are unique that is the answer and nothing is shuffled;
     otherwise the rows of one id are added up. Uniqueness is checked unless the caller knows it.
     """
-    runs = docs.select(F.col(id_col).alias("doc_id"), F.explode(runs_of_equal(elements)).alias("run"))
-    counts = runs.select("doc_id", run_word(F.col("run")).alias("word"), run_length(F.col("run")).alias("n"))
+    schema = StructType([
+        StructField("doc_id", docs.schema[id_col].dataType), StructField("word", StringType()), StructField("n", LongType())
+    ])
+    dropped = sorted({w.lower() for w in stop_words})
+    counts = docs.select(id_col, F.lower(text).alias("text")).mapInArrow(count_batches(size, dropped, cut), schema)
     if ids_unique is None:
         ids_unique = unique_ids(docs, id_col)
     return counts if ids_unique else counts.groupBy("doc_id", "word").agg(F.sum("n").alias("n"))
@@ -76,11 +86,13 @@ def word_counts(
     text: str = "text",
     id_col: str = "doc_id",
     ids_unique: bool | None = None,
+    cut: int | None = None,
 ) -> DataFrame:
-    """``doc_id, word, n``: how often each document holds each word that is no stop word."""
-    counts = _counted(docs, tokenize_regex(F.col(text)), id_col, ids_unique)
-    dropped = sorted({w.lower() for w in stop_words})
-    return counts.where(~F.col("word").isin(dropped)) if dropped else counts
+    """``doc_id, word, n``: how often each document holds each word that is no stop word.
+
+    With ``cut`` words are counted by their first so many characters, inside the row as well.
+    """
+    return _counted(docs, 1, stop_words, text, id_col, ids_unique, cut)
 
 
 def bigram_counts(
@@ -91,8 +103,7 @@ def bigram_counts(
     ids_unique: bool | None = None,
 ) -> DataFrame:
     """``doc_id, word, n``: how often each document holds each bigram left after the stop list."""
-    words = remove_stopwords(tokenize_regex(F.col(text)), stop_words)
-    return _counted(docs, ngrams(words, 2), id_col, ids_unique)
+    return _counted(docs, 2, stop_words, text, id_col, ids_unique)
 
 
 def stem_table(words: DataFrame, language: str = ENGLISH, stems: DataFrame | None = None) -> DataFrame:
@@ -117,12 +128,25 @@ def stem_table(words: DataFrame, language: str = ENGLISH, stems: DataFrame | Non
     return table
 
 
+def with_stems(rows: DataFrame, table: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Rows with the stem of their word by a stored ``word, stem`` table of all their words.
+
+    Only stems that differ from their word are looked up; ``counts`` holds ``word, _n``, the rows of each word, if known.
+    """
+    changed = table.where(F.col("stem") != F.col("word")).select("word", "stem")
+    found = lookup_join(rows, changed, "word", "left", key_counts=counts)
+    return found.withColumn("stem", F.coalesce("stem", "word"))
+
+
 def stem_words(tokens: DataFrame, language: str = ENGLISH, stems: DataFrame | None = None) -> DataFrame:
     """Token rows with the stem of their word.
 
-    Only the vocabulary passes through the stemmer; the rows get their stem by a lookup.
+    Only the vocabulary passes through the stemmer; the rows get their stem by a lookup. The vocabulary holds the
+    number of rows of each word, so the rows are not counted again to find hot words.
     """
-    return lookup_join(tokens, stem_table(tokens, language, stems).select("word", "stem"), "word")
+    table = stem_table(tokens, language, stems)
+    counts = None if "n" in tokens.columns else table.select("word", F.col("n").alias("_n"))
+    return with_stems(tokens, table, counts)
 
 
 def stems_by_language(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
