@@ -123,3 +123,16 @@ def test_top_words_of_one_tag(spark):
     lexicon = spark.createDataFrame([("the", "DT"), ("sang", "VBD")], "word string, pos string")
     got = [(r["word"], r["count"]) for r in tagging.top_words(docs, lexicon, "VERB", 3).collect()]
     assert got == [("walked", 3), ("talked", 2), ("jumping", 1)]
+
+
+def test_sentences_meet_their_labels_before_they_are_split(spark):
+    docs = spark.createDataFrame([(1, "New York is big. No."), (1, "Old town is big."), (2, None)], "doc_id long, text string")
+    lexicon = spark.createDataFrame([("new york", "PLACE")], "term string, tag string")
+    labelled = an.tag_entities(docs, lexicon)
+    plan = labelled._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate posexplode") < plan.index("Join LeftOuter")
+    got = sorted(tuple(r)[3:] for r in labelled.collect())
+    assert got == sorted(
+        [("New", "PLACE"), ("York", "PLACE"), ("is", "O"), ("big", "O"), (".", "O"), ("No", "O"), (".", "O")]
+        + [(w, "O") for w in ("Old", "town", "is", "big", ".")]
+    )
