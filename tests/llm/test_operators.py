@@ -576,3 +576,15 @@ def test_stages_keep_the_columns(spark, docs):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, frame, SF_DIR).columns == frame.columns
         assert stage(spark, frame.limit(0), SF_DIR).count() == 0
+
+
+def test_segments_take_the_length_of_a_line_as_a_column(spark):
+    from textloom.llm.lines import segments
+
+    texts = [(x,) for x in ("a" * 16, "né " * 30, "one long line " * 90)]
+    rows = spark.createDataFrame(texts, "line string").withColumn("size", F.char_length("line"))
+    for longer in (False, True):
+        given = segments(F.col("line"), longer, F.col("size"))
+        assert str(rows.select(given.alias("s"))._jdf.queryExecution().analyzed()).count("char_length") <= 1
+        got = rows.select((given == segments(F.col("line"), longer)).alias("same"), F.size(given).alias("n")).collect()
+        assert all(r["same"] and r["n"] >= 1 for r in got)

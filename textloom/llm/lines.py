@@ -58,14 +58,15 @@ def half_keys(line: Column, min_chars: int = MIN_CHARS) -> Column:
     )
 
 
-def segments(line: Column, longer: bool) -> Column:
+def segments(line: Column, longer: bool, size: Column | None = None) -> Column:
     """``grown, around, hole``: the line without each of its segments, hashed, and the segment.
 
     Two lines one edit apart agree outside one segment. Segments are those of the shorter line of a pair
     of ``n`` characters, counted from the start in front of the segment and from the end behind it; a
-    line is taken as the shorter one, and with ``longer`` as the one that has a character more.
+    line is taken as the shorter one, and with ``longer`` as the one that has a character more. ``size`` is the
+    column of its length; without one it is counted again wherever a segment needs it.
     """
-    size = F.char_length(line)
+    size = F.char_length(line) if size is None else size
     n = size - 1 if longer else size
     step = F.greatest(F.lit(SEGMENT), F.floor(n / F.lit(SEGMENTS)).cast("int"))
 
@@ -146,10 +147,11 @@ def near_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     texts = texts.select(*DOC, "x.line_no", F.btrim("x.line", F.lit(" \t\r")).alias("line"))
     texts = stored(texts.select(*PLACE, "line", *line_key(F.col("line"))), "lines-texts")
 
-    line = F.col("line")
-    longer = F.when(F.char_length(line) > min_chars, segments(line, True)).otherwise(F.slice(segments(line, False), 1, 0))
-    around = texts.select(
-        F.struct(*PLACE).alias("place"), "k1", "k2", F.explode(F.concat(segments(line, False), longer)).alias("s")
+    line, size = F.col("line"), F.col("size")
+    own = segments(line, False, size)
+    both = F.when(size > min_chars, F.concat(own, segments(line, True, size))).otherwise(own)
+    around = texts.withColumn("size", F.char_length("line")).select(
+        F.struct(*PLACE).alias("place"), "k1", "k2", F.explode(both).alias("s")
     )
     around = stored(around.select("place", "k1", "k2", "s.grown", "s.around", "s.hole"), "lines-segments")
     met = around.groupBy("around").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low <> high")
