@@ -588,3 +588,24 @@ def test_segments_take_the_length_of_a_line_as_a_column(spark):
         assert str(rows.select(given.alias("s"))._jdf.queryExecution().analyzed()).count("char_length") <= 1
         got = rows.select((given == segments(F.col("line"), longer)).alias("same"), F.size(given).alias("n")).collect()
         assert all(r["same"] and r["n"] >= 1 for r in got)
+
+
+def test_group_of_many_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    draw = random.Random(5)
+    rows = []
+    for i in range(240):
+        words = [f"w{k}" for k in range(100)]
+        for k in draw.sample(range(100), 6):
+            words[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(words)))
+    compared = []
+
+    def counted(docs, pairs, words, percent, verified=jaccard.verified):
+        compared.append(pairs.count())
+        return verified(docs, pairs, words, percent)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    got = collected(jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80))
+    assert got == sorted(brute_components(rows, 1, 80), key=repr)
+    # There are 28,680 pairs; the first comparisons grow with the rows, and few are left for the last one.
+    assert compared[-1] < 1000

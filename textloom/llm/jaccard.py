@@ -33,6 +33,8 @@ FREQUENT, FREQUENT_IN_BLOCK, BLOCK_SHINGLES = 200_000, 3, 4_000_000
 PARITIES = [f"b{i}" for i in range(16)]
 # Classes compared with one copy of a head's set.
 MEMBERS = 256
+# A bucket of more rows first meets about so many of its groups in each round, drawn by a hash of group and shingle.
+LARGE, DRAWN = 8, (8, 64)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
@@ -200,22 +202,6 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
     return stored(in_batches(sent, similar, "a long, b long").distinct(), "links")
 
 
-def prefix_size(n: str, percent: int) -> F.Column:
-    """``prefix_length`` of a column."""
-    return F.col(n) - F.ceil(F.col(n) * percent / F.lit(100)) + 1
-
-
-def may_link(percent: int) -> F.Column:
-    """Whether sets of ``x`` and ``y`` shingles with ``common`` ones in both prefixes can be similar enough.
-
-    Of the two prefixes, all common shingles of the one that ends first in the order are in both; the rest
-    of that set bounds what else they share.
-    """
-    rest = F.greatest(F.col("x") - prefix_size("x", percent), F.col("y") - prefix_size("y", percent))
-    enough = (F.col("common") + rest) * (100 + percent) >= percent * (F.col("x") + F.col("y"))
-    return enough & (100 * F.least("x", "y") >= percent * F.greatest("x", "y"))
-
-
 def may_start(percent: int) -> F.Column:
     """Whether similar sets of ``x`` and ``y`` shingles can have their first common one at ``i`` and ``j``.
 
@@ -243,6 +229,29 @@ def side(frame: DataFrame, name: str, size: str) -> DataFrame:
     return frame.withColumnsRenamed(names)
 
 
+def as_edges(comps: DataFrame) -> DataFrame:
+    return comps.select(F.col("id").alias("a"), F.col("component").alias("b"))
+
+
+def largest_component(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``main`` of each bucket of several components: the component of most rows."""
+    counts = rows.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("c"))
+    largest = counts.groupBy(*keys).agg(F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("several"))
+    return largest.where("several > 1").select(*keys, F.col("top.component").alias("main"))
+
+
+def drawn_pairs(rows: DataFrame, other: DataFrame, drawn: int, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of ``other`` groups of a bucket with about ``drawn`` of its ``rows``, for other components.
+
+    Both hold ``token, at, n, gid, c, component``. The number of pairs is linear in the rows.
+    """
+    own = rows.where(F.pmod(F.xxhash64("gid", "token"), F.greatest(F.lit(1), F.expr(f"c div {drawn}"))) == 0)
+    own = own.select("token", F.col("gid").alias("a"), F.col("at").alias("i"), F.col("n").alias("x"), F.col("component").alias("ca"))
+    other = other.select("token", F.col("gid").alias("b"), F.col("at").alias("j"), F.col("n").alias("y"), F.col("component").alias("cb"))
+    pairs = own.join(other, "token").where((F.col("ca") != F.col("cb")) & may_start(percent))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 PAIR = ["a", "da", "sa", "b", "db", "sb"]
 
 
@@ -259,54 +268,63 @@ def class_components(own: DataFrame, docs: DataFrame, words: int, percent: int)
 
     heads = member.where("cid = gid").select("gid", F.col("doc").alias("doc_id"), "s1", "s2", "n")
     prefixes = own.select("doc_id", "s1", "s2", "n", "rare", "often").join(heads, ["doc_id", "s1", "s2", "n"])
-    rare = prefixes.select("gid", F.posexplode("rare").alias("at", "token"))
-    often = prefixes.where(F.size("often") > 0).select("gid", F.size("rare").alias("before"), F.posexplode("often").alias("at", "token"))
+    rare = prefixes.select("gid", "n", F.posexplode("rare").alias("at", "token"))
+    often = prefixes.where(F.size("often") > 0).select("gid", "n", F.size("rare").alias("before"), F.posexplode("often").alias("at", "token"))
     often = often.withColumn("at", F.col("at") + F.col("before")).drop("before")
 
     # A bucket's smallest and greatest group are found with map-side combining; the join back can split a large bucket.
     def open_buckets(rows: DataFrame) -> DataFrame:
-        lows = rows.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high")).where("low <> high")
-        return rows.join(lows, "token").select("token", "gid", "at", "low")
+        lows = rows.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high"), F.count(F.lit(1)).alias("c"))
+        return rows.join(lows.where("low <> high"), "token").select("token", "gid", "at", "n", "c")
 
     buckets = stored(open_buckets(rare).union(open_buckets(often)), "buckets")
 
     plain = member.select("cid", "doc", "s1", "n", *PARITIES)
-    star = buckets.where("gid <> low").groupBy(F.col("low").alias("a"), F.col("gid").alias("b"))
-    star = star.agg(F.count(F.lit(1)).alias("common"))
-    star = star.join(side(plain, "a", "x"), "a").join(side(plain, "b", "y"), "b")
-    star = star.where(may_link(percent) & may_be_close(percent)).select(PAIR)
-    inside = side(member.where("cid <> gid").drop("s2"), "b", "y").withColumnRenamed("gid", "a").join(side(plain, "a", "x"), "a")
-    tried = stored(star.union(inside.where(may_be_close(percent)).select(PAIR)), "tried")
-    links = verified(docs, tried, words, percent)
-
-    comps = components(links)
-    placed = member.join(comps.withColumnRenamed("id", "cid"), "cid", "left").drop("s2")
+
+    def close(pairs: DataFrame) -> DataFrame:
+        """``PAIR`` of those ``a, b`` whose parities are close."""
+        both = pairs.join(side(plain, "a", "x"), "a").join(side(plain, "b", "y"), "b")
+        return both.where(may_be_close(percent)).select(PAIR)
+
+    large = buckets.where(F.col("c") > LARGE)
+    inside = member.where("cid <> gid").select(F.col("gid").alias("a"), F.col("cid").alias("b"))
+    rows = large.withColumn("component", F.col("gid"))
+    star = drawn_pairs(rows, rows, DRAWN[0], percent)
+    tried = stored(close(star.union(inside).distinct()), "tried")
+    comps = components(verified(docs, tried, words, percent))
+    for drawn in DRAWN[1:]:
+        rows = large.join(comps.withColumnRenamed("id", "gid"), "gid", "left")
+        rows = stored(rows.withColumn("component", F.coalesce("component", "gid")), "large")
+        outside = rows.join(largest_component(rows, ["token"]), "token").where("component <> main")
+        star = drawn_pairs(rows, outside, drawn, percent).distinct()
+        star = stored(close(star.join(tried.select("a", "b"), ["a", "b"], "left_anti")), "tried")
+        tried = tried.union(star)
+        more = verified(docs, star, words, percent)
+        if more.isEmpty():
+            break
+        comps = components(more.union(as_edges(comps)))
+    placed = member.select("gid", "cid", "n").join(comps.withColumnRenamed("id", "cid"), "cid", "left")
     placed = stored(placed.withColumn("component", F.coalesce("component", "cid")), "placed")
 
-    # First only the components of a bucket's rows are counted; classes join once the open buckets are known.
-    where = placed.select("gid", "cid", "component")
-    of_token = buckets.select("token", "at", "gid").join(where, "gid").withColumn("grouped", F.lit(False))
-    of_group = where.withColumn("token", F.col("gid")).withColumn("grouped", F.lit(True)).withColumn("at", F.lit(0))
-    columns = ["token", "at", "cid", "component", "grouped"]
+    of_token = buckets.select("token", "at", "gid", "n").join(placed.drop("n"), "gid").withColumn("grouped", F.lit(False))
+    of_group = placed.withColumn("token", F.col("gid")).withColumn("grouped", F.lit(True)).withColumn("at", F.lit(0))
+    columns = ["token", "grouped", "at", "n", "cid", "component"]
     rows = of_token.select(columns).union(of_group.select(columns))
-    counts = rows.groupBy("token", "grouped", "component").agg(F.count(F.lit(1)).alias("c"))
-    largest = counts.groupBy("token", "grouped").agg(
-        F.max(F.struct("c", "component")).alias("top"), F.count(F.lit(1)).alias("several")
-    )
-    several = largest.where("several > 1").select("token", "grouped", F.col("top.component").alias("main"))
-    open_rows = stored(rows.join(several, ["token", "grouped"]).join(plain, "cid"), "open")
-    out = side(open_rows.where("component <> main").drop("main"), "a", "x").withColumnsRenamed({"at": "i", "component": "ca"})
-    every = side(open_rows, "b", "y").withColumnsRenamed({"at": "j", "component": "cb"})
+    several = largest_component(rows, ["token", "grouped"])
+    open_rows = stored(rows.join(several, ["token", "grouped"]), "open")
+    out = open_rows.where("component <> main").drop("main")
+    out = out.withColumnsRenamed({"cid": "a", "at": "i", "n": "x", "component": "ca"})
+    every = open_rows.withColumnsRenamed({"cid": "b", "at": "j", "n": "y", "component": "cb"})
     # Of two classes outside the largest component the pair is met from the smaller one only.
     once = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-    rest = out.join(every, ["token", "grouped"]).where(once & may_start(percent) & may_be_close(percent))
-    rest = rest.select(PAIR).distinct()
-    done = tried.select("a", "b").union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = stored(rest.join(done, ["a", "b"], "left_anti"), "rest")
+    rest = out.join(every, ["token", "grouped"]).where(once & may_start(percent))
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = close(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
+    rest = stored(rest, "rest")
     if not rest.isEmpty():
         more = verified(docs, rest, words, percent)
         if not more.isEmpty():
-            comps = components(links.union(more))
+            comps = components(more.union(as_edges(comps)))
     joined = member.join(comps.withColumnRenamed("id", "cid"), "cid", "left")
     return joined.select("s1", "s2", "n", "doc", F.coalesce("component", "cid").alias("component"))
 
@@ -321,12 +339,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     Method: documents of equal sets are one class, classes of equal size and equal prefix one group.
     Prefixes follow one order of all shingles, rare ones first, so that linked sets share a shingle of
-    their prefixes. First every group is compared with the smallest group of each of its prefix
-    shingles, and every class with its group's; that is linear however large a bucket is. Links make
-    components. Then, in buckets that still hold several components, the classes outside the bucket's
-    largest component are paired with the classes of other components, and pairs that share enough of
-    their prefixes are compared. Pairs inside a component need no comparison, so no link that joins
-    components is lost. Before whole sets move, parities of their shingles rule out pairs that cannot link.
+    their prefixes. First, in rounds, every group of a large bucket is compared with a few groups drawn
+    from the bucket, others for each shingle, and every class with its group's; later rounds draw more, for
+    groups outside the bucket's largest component only. That is linear however large a bucket is. Links
+    make components. Then, in buckets that still hold several components,
+    the classes outside the bucket's largest component are paired with the classes of other components,
+    and pairs that can have their first common shingle there are compared. Pairs inside a component need
+    no comparison, so no link that joins components is lost. Before whole sets move, parities of their
+    shingles rule out pairs that cannot link; they meet pairs, and are not copied to each shingle.
     Whole sets are compared, shingles by 64-bit hash of words that are hashed modulo a prime.
 
     Edge cases: a null, empty or blank text has no shingles, ``n_shingles`` 0 and its own ``doc_id``;
