@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.common import (
@@ -272,10 +272,12 @@ def class_components(own: DataFrame, docs: DataFrame, words: int, percent: int)
     often = prefixes.where(F.size("often") > 0).select("gid", "n", F.size("rare").alias("before"), F.posexplode("often").alias("at", "token"))
     often = often.withColumn("at", F.col("at") + F.col("before")).drop("before")
 
-    # A bucket's smallest and greatest group are found with map-side combining; the join back can split a large bucket.
+    # One shuffle of the shingles; a bucket that passes memory is spilled by the window.
+    bucket = Window.partitionBy("token")
+
     def open_buckets(rows: DataFrame) -> DataFrame:
-        lows = rows.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high"), F.count(F.lit(1)).alias("c"))
-        return rows.join(lows.where("low <> high"), "token").select("token", "gid", "at", "n", "c")
+        ends = {"low": F.min("gid").over(bucket), "high": F.max("gid").over(bucket), "c": F.count(F.lit(1)).over(bucket)}
+        return rows.withColumns(ends).where("low <> high").select("token", "gid", "at", "n", "c")
 
     buckets = stored(open_buckets(rare).union(open_buckets(often)), "buckets")
 
