@@ -216,3 +216,24 @@ def test_collocations_of_no_rows(spark):
     rare = spark.createDataFrame([("a b c", "en")], "text string, lang string")
     assert phrases.collocations(rare).columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert phrases.collocations(rare).count() == 0
+
+
+def test_links_of_a_group_are_compared_as_a_tree_first(spark, monkeypatch):
+    from textloom.llm import jaccard
+
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join([*words, f"x{i}"])) for i in range(30)] + [(90, "a b c d e f g"), (91, "a b c d e f h")]
+    compared, whole = [], jaccard.verified
+
+    def counted(docs, pairs, *rest):
+        compared.append(pairs.count())
+        return whole(docs, pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: 0 for i in range(30)} | {90: 90, 91: 91}
+    assert sum(compared) < 60
+    # The same with requests that are too many to be broadcast.
+    monkeypatch.setattr(jaccard, "REQUESTS", 1)
+    again = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, found))

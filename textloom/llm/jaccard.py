@@ -33,6 +33,8 @@ FREQUENT, FREQUENT_IN_BLOCK, BLOCK_SHINGLES = 200_000, 3, 4_000_000
 PARITIES = [f"b{i}" for i in range(16)]
 # Classes compared with one copy of a head's set.
 MEMBERS = 256
+# Requests for sets that are broadcast, so that sets are shuffled once; about 50 MB. More requests are shuffled.
+REQUESTS = 1 << 20
 # A bucket of more rows first meets about so many of its groups in each round, drawn by a hash of group and shingle.
 LARGE, DRAWN = 8, (8, 64)
 
@@ -153,7 +155,8 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
 
     ``pairs`` holds ``a, da, sa, b, db, sb``: two classes, and a document and the first set key of each. Sets are computed again
     from the texts of the documents asked for. The set of ``a`` is sent once for MEMBERS sets it is compared with, in a
-    stream sorted so that it comes before them; a class of any number of partners is spread over many tasks.
+    stream sorted so that it comes before them; a class of any number of partners is spread over many tasks. Up to REQUESTS
+    requests are broadcast to the texts, so sets move once.
     """
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("c"))
     parts = F.expr(f"cast(c div {MEMBERS} + 1 as int)")
@@ -162,6 +165,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
     heads = asked.select("a", "part", F.lit(0).alias("role"), F.col("a").alias("b"), F.col("da").alias("doc_id"), F.col("sa").alias("s1"))
     members = asked.select("a", "part", F.lit(1).alias("role"), "b", F.col("db").alias("doc_id"), F.col("sb").alias("s1"))
     requests = heads.distinct().union(members)
+    few = requests.limit(REQUESTS + 1).count() <= REQUESTS
     shared = docs.sparkSession.sparkContext.broadcast(id_filter(requests, "doc_id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,6 +180,8 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "s1", "shingles"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    if few:
+        rows = rows.join(F.broadcast(requests.select("doc_id").distinct()), "doc_id", "left_semi")
     rows = rows.withColumn("slot", id_slot(F.col("doc_id")))
     found = in_batches(rows, sets, "doc_id long, s1 long, shingles binary")
 
@@ -197,11 +203,32 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sent = requests.join(found, ["doc_id", "s1"]).select("a", "part", "role", "b", "shingles")
+    sent = found.join(F.broadcast(requests) if few else requests, ["doc_id", "s1"]).select("a", "part", "role", "b", "shingles")
     sent = sent.repartition("a", "part").sortWithinPartitions("a", "part", "role")
     return stored(in_batches(sent, similar, "a long, b long").distinct(), "links")
 
 
+def linked(docs: DataFrame, pairs: DataFrame, comps: DataFrame | None, words: int, percent: int) -> DataFrame:
+    """``id, component`` of classes: ``comps`` with the links among ``pairs``, which hold the columns of ``PAIR``.
+
+    Each class is compared with the smallest partner it has, then pairs whose classes are still in different components
+    are. A pair inside a component cannot join any, so large sets are seldom sent for more than a tree of links.
+    """
+    first = pairs.groupBy("b").agg(F.min(F.struct("a", "da", "sa", "db", "sb")).alias("least"))
+    first = stored(first.select("least.a", "least.da", "least.sa", "b", "least.db", "least.sb"), "first")
+    links = verified(docs, first, words, percent)
+    comps = components(links if comps is None else links.union(as_edges(comps)))
+    apart = pairs.join(first.select("a", "b"), ["a", "b"], "left_anti")
+    for name in ("a", "b"):
+        apart = apart.join(comps.select(F.col("id").alias(name), F.col("component").alias(f"c{name}")), name, "left")
+    apart = apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
+    apart = stored(apart.select(PAIR), "apart")
+    if apart.isEmpty():
+        return comps
+    links = verified(docs, apart, words, percent)
+    return comps if links.isEmpty() else components(links.union(as_edges(comps)))
+
+
 def may_start(percent: int) -> F.Column:
     """Whether similar sets of ``x`` and ``y`` shingles can have their first common one at ``i`` and ``j``.
 
@@ -264,7 +291,7 @@ def class_components(own: DataFrame, docs: DataFrame, words: int, percent: int)
     )
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     groups = classes.groupBy("n", "p1", "p2").agg(F.min("cid").alias("gid"))
-    member = stored(classes.join(groups, ["n", "p1", "p2"]).drop("p1", "p2"), "members")
+    member = stored(classes.drop(*PARITIES).join(groups, ["n", "p1", "p2"]).drop("p1", "p2"), "members")
 
     heads = member.where("cid = gid").select("gid", F.col("doc").alias("doc_id"), "s1", "s2", "n")
     prefixes = own.select("doc_id", "s1", "s2", "n", "rare", "often").join(heads, ["doc_id", "s1", "s2", "n"])
@@ -281,7 +308,7 @@ def class_components(own: DataFrame, docs: DataFrame, words: int, percent: int)
 
     buckets = stored(open_buckets(rare).union(open_buckets(often)), "buckets")
 
-    plain = member.select("cid", "doc", "s1", "n", *PARITIES)
+    plain = classes.select("cid", "doc", "s1", "n", *PARITIES)
 
     def close(pairs: DataFrame) -> DataFrame:
         """``PAIR`` of those ``a, b`` whose parities are close."""
@@ -293,7 +320,7 @@ def class_components(own: DataFrame, docs: DataFrame, words: int, percent: int)
     rows = large.withColumn("component", F.col("gid"))
     star = drawn_pairs(rows, rows, DRAWN[0], percent)
     tried = stored(close(star.union(inside).distinct()), "tried")
-    comps = components(verified(docs, tried, words, percent))
+    comps = linked(docs, tried, None, words, percent)
     for drawn in DRAWN[1:]:
         rows = large.join(comps.withColumnRenamed("id", "gid"), "gid", "left")
         rows = stored(rows.withColumn("component", F.coalesce("component", "gid")), "large")
@@ -301,10 +328,9 @@ def class_components(own: DataFrame, docs: DataFrame, words: int, percent: int)
         star = drawn_pairs(rows, outside, drawn, percent).distinct()
         star = stored(close(star.join(tried.select("a", "b"), ["a", "b"], "left_anti")), "tried")
         tried = tried.union(star)
-        more = verified(docs, star, words, percent)
-        if more.isEmpty():
+        if star.isEmpty():
             break
-        comps = components(more.union(as_edges(comps)))
+        comps = linked(docs, star, comps, words, percent)
     placed = member.select("gid", "cid", "n").join(comps.withColumnRenamed("id", "cid"), "cid", "left")
     placed = stored(placed.withColumn("component", F.coalesce("component", "cid")), "placed")
 
@@ -324,9 +350,7 @@ def class_components(own: DataFrame, docs: DataFrame, words: int, percent: int)
     rest = close(rest.join(tried.select("a", "b"), ["a", "b"], "left_anti"))
     rest = stored(rest, "rest")
     if not rest.isEmpty():
-        more = verified(docs, rest, words, percent)
-        if not more.isEmpty():
-            comps = components(more.union(as_edges(comps)))
+        comps = linked(docs, rest, comps, words, percent)
     joined = member.join(comps.withColumnRenamed("id", "cid"), "cid", "left")
     return joined.select("s1", "s2", "n", "doc", F.coalesce("component", "cid").alias("component"))
 
@@ -346,7 +370,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     groups outside the bucket's largest component only. That is linear however large a bucket is. Links
     make components. Then, in buckets that still hold several components,
     the classes outside the bucket's largest component are paired with the classes of other components,
-    and pairs that can have their first common shingle there are compared. Pairs inside a component need
+    and pairs that can have their first common shingle there are compared. Of all pairs at hand, each class first
+    meets its smallest partner only. Pairs inside a component need
     no comparison, so no link that joins components is lost. Before whole sets move, parities of their
     shingles rule out pairs that cannot link; they meet pairs, and are not copied to each shingle.
     Whole sets are compared, shingles by 64-bit hash of words that are hashed modulo a prime.
