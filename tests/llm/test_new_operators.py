@@ -237,3 +237,20 @@ def test_links_of_a_group_are_compared_as_a_tree_first(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "REQUESTS", 1)
     again = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, found))
+
+
+def test_cuts_are_found_by_reading_gaps_only():
+    import numpy as np
+
+    from textloom.llm import phrases
+
+    text = b"a b.c ,d \t e" + b" " * 40 + b"f" + b" " * 30 + b";" + b" " * 30 + b"g  . h\ti" + b" " * 7 + b"!j" + b" " * 9 + b"k"
+    raw = np.frombuffer(text, np.uint8)
+    first = np.array([i for i, x in enumerate(text) if chr(x).isalpha()])
+    last = first[:-1] + 1
+    expected = [any(phrases.IS_CUT[x] for x in text[a:b]) for a, b in zip(last, first[1:])]
+    assert phrases.cut_between(raw, last, first[1:]).tolist() == expected
+    slab = phrases.Slab(raw, np.array([0, len(raw)]), np.zeros(1, np.uint64))
+    assert slab.piece.tolist() == np.cumsum([0, *expected]).tolist()
+    # Only the bytes of words that are returned are written in lower case.
+    assert np.shares_memory(slab.raw, raw)

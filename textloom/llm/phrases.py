@@ -27,8 +27,10 @@ CUTS = b".,;:!?" + bytes(range(0x0A, 0x0E))
 WORDS = byte_table(b" \t" + CUTS)
 FOLDED = np.arange(256, dtype=np.uint8)
 FOLDED[65:91] += 32
-IS_CUT = np.zeros(256, np.int64)
-IS_CUT[list(CUTS)] = 1
+IS_CUT = np.zeros(256, bool)
+IS_CUT[list(CUTS)] = True
+# Bytes of a gap between words that are looked at one by one.
+GAP = 8
 
 
 def language_keys(column: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -38,18 +40,37 @@ def language_keys(column: pa.Array) -> tuple[list[str], np.ndarray]:
     return names, np.array([known[x] for x in names], np.uint64)
 
 
+def cut_between(raw: np.ndarray, last: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether a cut stands in each gap from ``last`` to before ``first``.
+
+    Nearly all gaps end or are settled within two bytes, so only bytes of gaps are read.
+    """
+    found = (last < first) & IS_CUT[raw[last]]
+    rest = np.flatnonzero((first - last > 1) & ~found)
+    for step in range(1, GAP):
+        if not len(rest):
+            return found
+        cut = IS_CUT[raw[last[rest] + step]]
+        found[rest[cut]] = True
+        rest = rest[~cut & (first[rest] - last[rest] > step + 1)]
+    if len(rest):
+        cuts = np.flatnonzero(IS_CUT[raw])
+        found[rest] = np.searchsorted(cuts, last[rest]) < np.searchsorted(cuts, first[rest])
+    return found
+
+
 class Slab:
     """Words of consecutive texts: hashes, places, and the piece and text each stands in."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray):
         self.hashes, self.first, self.last, before = hash_words(data, offsets, WORDS)
-        raw = data[offsets[0] : offsets[-1]]
-        self.raw = FOLDED[raw]
+        self.raw = data[offsets[0] : offsets[-1]]
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(before))
         self.keys = keys[self.text]
-        cuts = np.concatenate([[0], np.cumsum(IS_CUT[raw])])
-        apart = (cuts[self.first[1:]] > cuts[self.last[:-1]]) | (self.text[1:] != self.text[:-1])
-        self.piece = np.concatenate([[0], np.cumsum(apart)])[: len(self.hashes)]
+        self.piece = np.zeros(len(self.hashes), np.int64)
+        if len(self.hashes):
+            apart = cut_between(self.raw, self.last[:-1], self.first[1:]) | (self.text[1:] != self.text[:-1])
+            np.cumsum(apart, out=self.piece[1:])
 
     def windows(self, size: int) -> np.ndarray:
         """Words that start ``size`` words of one piece."""
@@ -65,7 +86,7 @@ class Slab:
         size = self.last[at] - self.first[at]
         ends = np.concatenate([[0], np.cumsum(size)])
         index = np.repeat(self.first[at] - ends[:-1], size) + np.arange(ends[-1])
-        buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(self.raw[index])]
+        buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(FOLDED[self.raw[index]])]
         return pa.Array.from_buffers(pa.large_string(), len(at), buffers)
 
     def phrases(self, at: np.ndarray, size: int) -> pa.Array:
@@ -118,7 +139,8 @@ def count_windows(
                     if not len(at):
                         continue
                     keys_at = slab.phrase_keys(at, size)
-                    order = np.argsort(keys_at, kind="stable")
+                    # Windows of one key are alike, so their order does not matter.
+                    order = np.argsort(keys_at)
                     ordered = keys_at[order]
                     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
                     n = np.diff(np.append(starts, len(ordered)))
