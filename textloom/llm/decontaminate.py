@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import ALNUM_WORDS, arrow_text
+from textloom.llm.common import ALNUM_WORDS, arrow_text, giving_back
 
 WINDOW = 13
 # Bytes of benchmark windows that one automaton holds; a larger benchmark is scanned in blocks.
@@ -145,7 +145,7 @@ def drop_contaminated(
             n_hit = np.array([sum(b - a for a, b in merge(h)) for h in hits], np.int64)
             yield batch.filter(pa.array(~((n_hit > 0) & (20 * n_hit >= counts))))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(giving_back(keep), docs.schema)
 
 
 def contamination_hits(

@@ -64,6 +64,7 @@ def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarr
 
     def often(block: list[np.ndarray]) -> pa.RecordBatch:
         flat, apart = np.concatenate(block), FREQUENT_IN_BLOCK - 1
+        block.clear()
         flat.sort()
         # All but the first ``apart`` places of each run that is long enough.
         values, n = np.unique(flat[apart:][flat[apart:] == flat[:-apart]], return_counts=True)
@@ -79,7 +80,7 @@ def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarr
                     held += len(values)
                 if held >= BLOCK_SHINGLES:
                     yield often(block)
-                    block, held = [], 0
+                    held = 0
         if block:
             yield often(block)
 

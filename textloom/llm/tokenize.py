@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 
 from textloom.llm.common import RunHasher, slabs
@@ -51,6 +53,8 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        # A task has one core; threads of the tokenizer would each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
