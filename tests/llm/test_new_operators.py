@@ -85,6 +85,18 @@ def test_hard_negatives_of_great_components(spark):
             assert want and collected(negatives.hard_negatives(frame, F.col("vec_id") % 5 == 0)) == want
 
 
+def test_blocks_of_vectors_meet_without_broadcast_or_copies(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "GROUP_ANCHORS", 2)
+    rows = negatives.scaled_vectors(spark.createDataFrame(as_floats(vector_rows(3, 90, 4, 3)), "vec_id long, label int, embedding array<float>"))
+    blocks = negatives.vector_blocks(rows, 8 * 4 * 5)
+    anchors = negatives.vector_blocks(rows.where("vec_id % 10 = 0"), 8 * 4)
+    pairs = negatives.block_pairs(negatives.as_anchors(anchors), blocks)
+    got = pairs.select("a_block", "block").collect()
+    assert len(got) == len(set(got)) == anchors.count() * blocks.count() and anchors.count() == 9
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan and "CartesianProduct" in plan
+
+
 def test_hard_negatives_of_no_rows(spark):
     empty = spark.createDataFrame([], VECTORS)
     assert negatives.hard_negatives(empty, F.col("vec_id") % 50 == 0).count() == 0

@@ -18,8 +18,8 @@ POSITIVES, NEGATIVES = 5, 3
 LOW, HIGH = 50, 95
 # Bytes of vectors in one block of rows and in one block of anchors.
 BLOCK_BYTES, ANCHOR_BYTES = 2 << 20, 256 << 10
-# Blocks of rows that share one copy of all anchors, at most.
-GROUP_BLOCKS = 64
+# Blocks of rows and blocks of anchors in one partition, at most; a task meets one partition of each.
+GROUP_BLOCKS, GROUP_ANCHORS = 64, 128
 # Dimensions read between two looks at the bounds; the last number is repeated.
 READS = (8, 8, 16, 32)
 # Scaled components stay below this, so that they are whole numbers of 64 bits.
@@ -176,15 +176,15 @@ def best_first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def block_pairs(anchors: DataFrame, blocks: DataFrame) -> DataFrame:
     """Each block of anchors beside each block of rows of its dimension.
 
-    Blocks of rows are dealt into groups and the anchors, a stated query set, are copied to every group; a pair is
-    a few hundred kB that take a task a tenth of a second or more.
+    Both sides are dealt into partitions of bounded size, and a task reads one of each: nothing is copied, and no
+    side is ever sent to the driver to be broadcast. A pair is a few hundred kB that take a task a tenth of a second or more.
     """
     count = blocks.count()
     cores = blocks.sparkSession.sparkContext.defaultParallelism
     groups = max(1, min(count, max(4 * cores, -(-count // GROUP_BLOCKS))))
-    copies = anchors.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    dealt = blocks.withColumn("_group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
-    return copies.join(dealt, ["_group", "dim"])
+    # The side on the right is held in memory by the task, so it is the one with the smaller partitions.
+    dealt = anchors.repartition(max(1, -(-anchors.count() // GROUP_ANCHORS)))
+    return blocks.repartition(groups).join(dealt.hint("shuffle_replicate_nl"), "dim")
 
 
 def as_anchors(blocks: DataFrame) -> DataFrame:
@@ -288,7 +288,9 @@ def hard_negatives(
     of_block = best.groupBy(F.col("block").alias("a_block")).agg(
         F.collect_list(F.struct("anchor", "place", "positive_id", "positive_score")).alias("a_positives")
     )
-    pairs = block_pairs(as_anchors(anchors).join(of_block, "a_block"), blocks)
+    # Merged, since a broadcast would bring the positives of all anchors to the driver.
+    asked = stored(as_anchors(anchors).join(of_block.hint("merge"), "a_block"), "asked")
+    pairs = block_pairs(asked, blocks)
     order = Window.partitionBy("anchor", "place").orderBy(F.desc("negative_score"), "negative_id")
     found = in_batches(pairs, search, NEGATIVE).withColumn("rank", F.row_number().over(order))
     return found.where(F.col("rank") <= negatives).select(
