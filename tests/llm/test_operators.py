@@ -544,6 +544,41 @@ def test_toxicity_learns_words_and_stems(spark, docs, empty):
     assert not toxicity.score_toxicity(frame, one_class).where("score >= 0.3").count()
 
 
+def labelled_texts(spark, n=600):
+    rows = [(k, prose(5000 + k, 12) + (" vilest" if k % 4 == 0 else ""), "en", int(k % 4 == 0)) for k in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+
+
+def test_toxicity_is_learnt_from_every_labelled_row(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 100)
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 20)
+    monkeypatch.setattr(toxicity, "BLOCK_BYTES", 2000)
+    for name in ("POSITIVE_ROWS", "NEGATIVE_ROWS"):  # there is no bound on the rows; what was one has no effect
+        monkeypatch.setattr(toxicity, name, 10, raising=False)
+    frame, seen = labelled_texts(spark), []
+    keep = toxicity.fit_shards
+    monkeypatch.setattr(toxicity, "fit_shards", lambda blocks, *a: seen.append(blocks) or keep(blocks, *a))
+    toxicity.fit_toxicity(frame.unionByName(frame.limit(3)), frame)
+    blocks = seen[0].collect()
+    rows = sum(len(r["toxic"]) for r in blocks)
+    held = frame.where(F.shiftright(F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(toxicity.SEED)), 12), 20) % 5 == 4).count()
+    assert 600 - held <= rows <= 603 - held and 90 < held < 150
+    assert len({r["shard"] for r in blocks}) == len(blocks) > 5
+    assert sum(sum(r["toxic"]) for r in blocks) > 100
+
+
+def test_shards_of_labels_learn_together_and_the_same_for_any_partitions(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 200)
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 100)
+    frame = labelled_texts(spark)
+    known = frame.where("doc_id < 500")
+    models = [toxicity.fit_toxicity(frame.repartition(n), known.repartition(n)) for n in (1, 7)]
+    assert all((a == b).all() for a, b in zip(*([m.table, *m.kernels, m.dense] for m in models)))
+    got = toxicity.score_toxicity(frame.where("doc_id >= 500"), models[0], ("toxic",)).groupBy("toxic").avg("score")
+    means = {r["toxic"]: r["avg(score)"] for r in got.collect()}
+    assert means[1] > 2 * means[0]
+
+
 def test_long_text_is_scored_in_chunks(monkeypatch):
     rng = np.random.default_rng(1)
     model = toxicity.fit_network([rng.integers(0, 1 << 17, (5, 3)).astype(np.int32) for _ in range(8)], np.array([0, 1] * 4, np.float32), 0.5)
