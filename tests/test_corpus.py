@@ -1,3 +1,4 @@
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -11,7 +12,7 @@ from textloom.functions.text import default_stop_words
 from textloom.operators import corpus, filters, joins, tokens
 from textloom.plans import analyze
 from textloom.plans.analyze import analyze_text, process_documents
-from textloom.session import scratch_path
+from textloom.session import job_dir, scratch_path
 from textloom.sources import readers, writers
 
 random.seed(7)
@@ -334,3 +335,21 @@ def test_analysis_adds_up_its_counts_once(spark, monkeypatch):
     terms = {r["index"]: r["stem"] for r in ngrams.collect()}
     assert {terms[i] for i in by_doc[1][0]} == {"big", "cat", "run", "big cats", "cats run"}
     assert set(by_doc) == {1, 2}
+
+
+def test_analysis_keeps_no_table_that_is_no_longer_read(spark, texts):
+    before = set(os.listdir(job_dir(spark).removeprefix("file:"))) if os.path.isdir(job_dir(spark).removeprefix("file:")) else set()
+    features, ngrams = analyze_text(texts, "c9", bigrams=True, min_df=1)
+    want = brute(TEXTS, porter2, True, 1)
+    assert {r["d"]: (r["indexes"], r["counts"]) for r in features.collect()} == want[0] and ngrams.count() == len(want[1])
+    left = {x.split("-")[0] for x in set(os.listdir(job_dir(spark).removeprefix("file:"))) - before}
+    assert "counts" in left and "words" not in left
+
+
+def test_a_vector_pair_moves_as_one_number(spark):
+    counts = spark.createDataFrame([(1, "a", (1 << 31) - 1), (1, "b", 1), (2, "c", 3)], "doc_id long, term string, n long")
+    vocabulary = spark.createDataFrame([("a", (1 << 31) - 1), ("b", 0)], "term string, index int")
+    got = corpus.doc_features(counts, vocabulary, "c").orderBy("d")
+    assert [tuple(r) for r in got.collect()] == [(1, [0, (1 << 31) - 1], [1, (1 << 31) - 1], "c"), (2, [], [], "c")]
+    assert "struct<index" not in got._jdf.queryExecution().optimizedPlan().treeString()
+    assert "shiftleft" in got._jdf.queryExecution().optimizedPlan().toString()
